@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -61,6 +62,30 @@ def safe_date(col: Column) -> Column:
     return col.try_cast("date")
 
 
+def _shape(fmt: str) -> str:
+    """Regular expression that text of a layout must match."""
+    digits = {"y", "M", "d", "H", "h", "m", "s"}
+    out = []
+    for match in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|(.)", fmt):
+        quoted, letters, letter, other = match.groups()
+        if letters is None:
+            out.append(re.escape(quoted if quoted is not None else other))
+        elif letter == "a":
+            out.append("[AaPp][Mm]")
+        elif letter == "M" and len(letters) == 3:
+            out.append("[A-Za-z]{3}")
+        elif letter in digits:
+            out.append(r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}")
+        else:
+            out.append(".+")
+    return f"^{''.join(out)}$"
+
+
+def _try_format(col: Column, fmt: str) -> Column:
+    # The cheap shape test spares the parser text that cannot fit, which is slow to refuse.
+    return F.when(col.rlike(_shape(fmt)), F.try_to_timestamp(col, F.lit(fmt)))
+
+
 def iso_timestamp(col: Column) -> Column:
     """ISO-8601 text (with ``T``, fraction, ``Z`` or ``+hhmm``) to a UTC timestamp."""
     zoned = F.regexp_replace(col, r"([+-]\d{2})(\d{2})$", "$1:$2")
@@ -73,7 +98,7 @@ def parse_ts(
     on_bad: str = "null",
 ) -> Column:
     """First layout that fits wins. ``on_bad='raise'`` fails on text that fits none."""
-    tries = [iso_timestamp(col)] + [F.try_to_timestamp(col, F.lit(f)) for f in formats]
+    tries = [iso_timestamp(col)] + [_try_format(col, f) for f in formats]
     parsed = F.coalesce(*tries)
     if on_bad == "raise":
         message = F.concat(F.lit("unparseable timestamp: "), col)
@@ -83,7 +108,7 @@ def parse_ts(
 
 def parse_date(col: Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
     """Mixed date text to a date, earlier layouts first."""
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in formats]).cast("date")
+    return F.coalesce(*[_try_format(col, f) for f in formats]).cast("date")
 
 
 def fill_fraction(col: Column) -> Column:

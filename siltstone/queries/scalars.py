@@ -29,7 +29,7 @@ def q_populated(t):
 
 
 @query("""
-select o_orderkey, cast(date_sub('year', b, date '2020-01-01') as integer) years,
+select o_orderkey, cast(date_sub('year', b, date '2020-01-01') as integer) as years,
   case when date_sub('year', b, date '2020-01-01') between 17 and 23 then '17_to_23'
        when date_sub('year', b, date '2020-01-01') between 24 and 30 then '24_to_30'
        when date_sub('year', b, date '2020-01-01') between 31 and 45 then '31_to_45'
@@ -46,7 +46,7 @@ def q_age_band(t):
 
 @query("""
 select user_id, weeks, case when weeks >= 3 then '3 weeks or more' end waiting from (
-  select user_id, cast(floor(epoch(timestamp '2024-02-10 12:30:00' - min(ts)) / 604800) as bigint) weeks
+  select user_id, cast(floor(epoch(timestamp '2024-02-10 12:30:00' - min(ts)) / 604800) as bigint) as weeks
   from events where event_type = 'signup' group by user_id)
 """)
 def q_stale_label(t):
