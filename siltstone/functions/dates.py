@@ -21,8 +21,6 @@ TIMESTAMP_FORMATS = (
 # Date layouts of report files, day before month.
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd", "yyyyMMdd")
 
-_ISO_START = r"^\d{4}-\d{2}-\d{2}"
-
 
 def _literal(value: Column | dt.date | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
@@ -82,14 +80,18 @@ def _shape(fmt: str) -> str:
 
 
 def _try_format(col: Column, fmt: str) -> Column:
-    # The cheap shape test spares the parser text that cannot fit, which is slow to refuse.
-    return F.when(col.rlike(_shape(fmt)), F.try_to_timestamp(col, F.lit(fmt)))
+    # Cheap tests spare the parser text that cannot fit, which it is slow to refuse.
+    marks = re.sub(r"'[^']*'|[A-Za-z :]", "", fmt)
+    likely = col.contains(marks[0]) if marks else F.length(col) == len(fmt.replace("'", ""))
+    return F.when(likely & col.rlike(_shape(fmt)), F.try_to_timestamp(col, F.lit(fmt)))
 
 
 def iso_timestamp(col: Column) -> Column:
     """ISO-8601 text (with ``T``, fraction, ``Z`` or ``+hhmm``) to a UTC timestamp."""
-    zoned = F.regexp_replace(col, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(col.rlike(_ISO_START), zoned.try_cast("timestamp"))
+    is_iso = (F.substring(col, 5, 1) == "-") & (F.substring(col, 8, 1) == "-")
+    short_zone = (F.length(col) > 19) & F.substring(col, -5, 1).isin("+", "-")
+    zoned = F.concat(F.substring(col, F.lit(1), F.length(col) - 2), F.lit(":"), F.right(col, F.lit(2)))
+    return F.when(is_iso, F.when(short_zone, zoned).otherwise(col).try_cast("timestamp"))
 
 
 def parse_ts(

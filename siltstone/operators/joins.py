@@ -65,7 +65,8 @@ def skew_join(
 
     Rows of hot keys meet their matches by broadcast and are never shuffled: at most
     ``HOT_PARTS`` rows when ``dim`` is unique, and counted first in any case. All other
-    rows use an ordinary join. ``hot`` may pass keys found on a cheaper input.
+    rows use an ordinary join. ``hot`` may pass keys found on a cheaper input, or ``[]`` when ``df``
+    has few rows per key and needs no counting pass.
     """
     on = list(on)
     hot = hot_keys(df, on, min_rows=min_rows) if hot is None else hot
@@ -114,32 +115,46 @@ def one_to_many(
 
 
 def lookup(
-    df: DataFrame, dim: DataFrame, key: Mapping[str, str] | str, how: str = "left",
+    df: DataFrame,
+    dim: DataFrame,
+    key: Mapping[str, str] | str,
+    how: str = "left",
     min_rows: int | None = None,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Enrich ``df`` with the columns of ``dim``; ``key`` may map df column to dim column."""
     pairs = {key: key} if isinstance(key, str) else dict(key)
     aligned = dim.withColumnsRenamed({d: k for k, d in pairs.items() if d != k})
-    return skew_join(df, aligned, list(pairs), how, min_rows)
+    return skew_join(df, aligned, list(pairs), how, min_rows, hot)
 
 
-def semi(df: DataFrame, other: DataFrame, on: Sequence[str], min_rows=None) -> DataFrame:
+def semi(
+    df: DataFrame, other: DataFrame, on: Sequence[str], min_rows: int | None = None, hot=None
+) -> DataFrame:
     """Rows whose key occurs in ``other``."""
-    return skew_join(df, other.select(*on), on, "left_semi", min_rows)
+    return skew_join(df, other.select(*on), on, "left_semi", min_rows, hot)
 
 
-def anti(df: DataFrame, other: DataFrame, on: Sequence[str], min_rows=None) -> DataFrame:
+def anti(
+    df: DataFrame, other: DataFrame, on: Sequence[str], min_rows: int | None = None, hot=None
+) -> DataFrame:
     """Rows whose key does not occur in ``other``."""
-    return skew_join(df, other.select(*on), on, "left_anti", min_rows)
+    return skew_join(df, other.select(*on), on, "left_anti", min_rows, hot)
 
 
 def matched_flag(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], name: str,
-    yes: str = "Y", no: str = " ", min_rows: int | None = None,
+    df: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    name: str,
+    yes: str = "Y",
+    no: str = " ",
+    min_rows: int | None = None,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """``yes`` where the key exists in ``dim``, else ``no``; rows never fan out."""
     present = dim.select(*on).dropna().distinct().withColumn(name, F.lit(yes))
-    joined = skew_join(df, present, on, "left", min_rows)
+    joined = skew_join(df, present, on, "left", min_rows, hot)
     return joined.select(*df.columns, F.coalesce(F.col(name), F.lit(no)).alias(name))
 
 

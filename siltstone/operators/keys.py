@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,7 +84,13 @@ def surrogate_id(
     size of the buckets before it. Bucket borders come from a hashed sample of bounded
     size, so every evaluation puts a row into the same bucket.
     """
-    order = F.struct(*[part for k in keys for part in (F.col(k).isNull(), F.col(k))])
+    order = F.struct(
+        *[
+            part
+            for i, k in enumerate(keys)
+            for part in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))
+        ]
+    )
     total = df.count()
     buckets = min(MAX_BUCKETS, max(1, total // rows_per_bucket))
     if buckets == 1:
@@ -91,41 +99,30 @@ def surrogate_id(
 
     keyed = df.select(order.alias("k"))
     step = max(1, total // (buckets * SAMPLE_PER_BUCKET))
-    sample = keyed.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0).distinct().orderBy("k")
-    found = [row["k"] for row in sample.collect()]
+    sample = keyed.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0).distinct()
+    found = [row[0] for row in sample.orderBy("k").select(F.to_json("k")).collect()]
     borders = [found[i * len(found) // buckets] for i in range(1, buckets)] if found else []
 
     key_type = keyed.schema["k"].dataType.simpleString()
     bucketed = df.withColumn("__bucket", _bucket_of(order, borders, key_type))
-    sizes = bucketed.groupBy("__bucket").count()
-    before = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # At most MAX_BUCKETS rows, so one task and a broadcast are safe.
-    shifts = sizes.select(
-        "__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__shift")
-    )
+    # At most MAX_BUCKETS counts, turned into the number of rows before each bucket.
+    sizes = {row["__bucket"]: row["count"] for row in bucketed.groupBy("__bucket").count().collect()}
+    before = [0, *accumulate(sizes.get(i, 0) for i in range(len(borders)))]
+    shift = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__bucket"))
     inside = Window.partitionBy("__bucket").orderBy(order)
-    return (
-        bucketed.withColumn("__n", F.row_number().over(inside))
-        .join(F.broadcast(shifts), "__bucket")
-        .withColumn(name, F.col("__n") + F.col("__shift"))
-        .drop("__bucket", "__n", "__shift")
-    )
+    numbered = bucketed.withColumn(name, F.row_number().over(inside) + shift)
+    return numbered.drop("__bucket")
 
 
-def _bucket_of(order: Column, borders: list, key_type: str) -> Column:
-    """Number of borders at or below the key, searched in two levels."""
+def _bucket_of(order: Column, borders: list[str], key_type: str) -> Column:
+    """Number of borders (JSON, ascending) at or below the key, searched in two levels."""
     if not borders:
         return F.lit(0)
     width = max(1, int(len(borders) ** 0.5))
     groups = [borders[i : i + width] for i in range(0, len(borders), width)]
-
-    def literal(value) -> Column:
-        return F.struct(*[F.lit(v) for v in value]).cast(key_type)
-
-    heads = F.array(*[literal(g[0]) for g in groups])
-    bodies = F.array(*[F.array(*[literal(v) for v in g]) for g in groups])
+    bodies_json = "[" + ",".join("[" + ",".join(g) + "]" for g in groups) + "]"
+    heads = F.from_json(F.lit("[" + ",".join(g[0] for g in groups) + "]"), f"array<{key_type}>")
+    bodies = F.from_json(F.lit(bodies_json), f"array<array<{key_type}>>")
     group = F.size(F.filter(heads, lambda b: b <= order))
     inside = F.size(F.filter(F.try_element_at(bodies, group), lambda b: b <= order))
     return F.when(group == 0, 0).otherwise((group - 1) * width + inside)

@@ -112,6 +112,24 @@ def explode_items(df: DataFrame, column: str, position: str, item: str) -> DataF
     return df.select(*others, F.posexplode_outer(F.col(f"`{column}`")).alias(position, item))
 
 
+def items_to_columns(
+    df: DataFrame, keys: Sequence[str], position: str, items: Sequence[str], width: int
+) -> DataFrame:
+    """Back from one row per item to ``<item>_0 … <item>_<width-1>``, one row per key.
+
+    Conditional minima combine in the map tasks; no group is collected. Positions at or
+    beyond ``width`` fail the job instead of being lost.
+    """
+    message = F.lit(f"{position} has values beyond {width - 1}")
+    place = F.when(F.col(position) >= width, F.raise_error(message)).otherwise(F.col(position))
+    cells = [
+        F.min(F.when(F.col("__place") == i, F.col(item))).alias(f"{item}_{i}")
+        for i in range(width)
+        for item in items
+    ]
+    return df.withColumn("__place", place).groupBy(*keys).agg(*cells)
+
+
 def flatten_columns(df: DataFrame, schemas: Mapping[str, str | None], sep: str = "_") -> DataFrame:
     """Replace named columns by ``<col>_<sub>`` columns, row by row.
 
@@ -146,13 +164,14 @@ def literal_to_json(col: Column) -> Column:
     out = col
     for word, json_word in LITERAL_WORDS:
         pattern = _OUTSIDE.replace("{first}", word[0]).replace("{rest}", word[1:])
-        out = F.regexp_replace(out, pattern, "$1" + json_word)
+        rewritten = F.regexp_replace(out, pattern, "$1" + json_word)
+        out = F.when(col.contains(word), rewritten).otherwise(out)
     return out
 
 
 def parse_document(col: Column, ddl: str) -> Column:
     """JSON text, or literal text with single quotes and None/True/False; else null."""
-    opening = F.regexp_extract(col, r"^\s*([\[{])", 1) != ""
+    opening = F.substring(F.ltrim(col), 1, 1).isin("{", "[")
     return F.when(opening, F.from_json(literal_to_json(col), ddl))
 
 
@@ -251,6 +270,18 @@ def unwrap(
     return rows if where is None else rows.where(where)
 
 
+def pick_objects(
+    df: DataFrame, payload: str, objects: Mapping[str, str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Chosen top-level objects ``{name: type}`` of a JSON response as columns.
+
+    Only the chosen objects are parsed; absent ones are null.
+    """
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in objects.items())
+    body = df.select(*keep, F.from_json(F.col(payload), ddl).alias("body"))
+    return body.select(*keep, *[F.col("body")[name].alias(name) for name in objects])
+
+
 # Shape of an object-created notification and its accepted source.
 ARRIVAL_DDL = (
     "Records array<struct<eventSource: string, "

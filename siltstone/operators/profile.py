@@ -12,55 +12,81 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.dates import parse_date, parse_ts
+from siltstone.schema import to_struct
 
 # Text that stands for a missing value.
 NULL_TOKENS = ("None", "")
 
+# Whole numbers as digits, whole numbers as written in code (no leading zero), decimals.
+_DIGITS = r"^[+-]?[0-9]+$"
 _INT = r"^[+-]?(0+|[1-9][0-9]*)$"
 _FLOAT = r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+|[0-9]+)([eE][+-]?[0-9]+)?$"
-_BOOL = r"^(?i)(true|false)$"
 
 MEASURES = (
-    "n", "n_set", "n_int", "n_float", "n_bool", "n_time", "n_midnight", "n_compact", "max_int",
+    "n", "n_set", "n_digits", "n_int", "n_long", "n_float", "n_bool", "n_time", "n_midnight",
+    "n_compact", "min_int", "max_int",
 )
 
 
-def _measures(col: Column) -> dict[str, Column]:
+def _maybe_time(text: Column) -> Column:
+    """Every known layout has one of these marks or one of these lengths."""
+    marks = text.contains("-") | text.contains("/") | text.contains(",")
+    return marks | F.length(text).isin(8, 12)
+
+
+def _facts(col: Column) -> dict[str, Column]:
+    """What one value is; each fact is worked out once and then counted."""
     text = F.when(~col.cast("string").isin(*NULL_TOKENS), col.cast("string"))
-    whole = text.rlike(_INT)
-    stamp = F.coalesce(parse_ts(text), parse_date(text).cast("timestamp"))
-    compact = F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
+    return {
+        "text": text,
+        "whole": text.rlike(_INT),
+        "stamp": F.when(_maybe_time(text), F.coalesce(parse_ts(text), parse_date(text).cast("timestamp"))),
+    }
+
+
+def _measures(text: Column, whole: Column, stamp: Column) -> dict[str, Column]:
+    number = F.when(whole, text.try_cast("bigint"))
+    compact = F.when((F.length(text) == 8) & text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
     return {
         "n": F.count("*"),
         "n_set": F.count(text),
+        "n_digits": F.count_if(whole | text.rlike(_DIGITS)),
         "n_int": F.count_if(whole),
-        "n_float": F.count_if(text.rlike(_FLOAT)),
-        "n_bool": F.count_if(text.rlike(_BOOL)),
+        "n_long": F.count(number),
+        "n_float": F.count_if(whole | text.rlike(_FLOAT)),
+        "n_bool": F.count_if(F.lower(text).isin("true", "false")),
         "n_time": F.count(stamp),
         "n_midnight": F.count_if(stamp == F.date_trunc("day", stamp)),
         "n_compact": F.count(compact),
-        "max_int": F.max(F.when(whole, text.try_cast("decimal(38,0)"))),
+        "min_int": F.min(number),
+        "max_int": F.max(number),
     }
 
 
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: how many values are set, and of what kind they could be."""
     names = df.columns
-    wide = df.agg(
+    facts = df.select(
         *[
-            expr.cast("decimal(38,0)").alias(f"{i}_{measure}")
+            expr.alias(f"{i}_{fact}")
             for i, name in enumerate(names)
-            for measure, expr in _measures(F.col(f"`{name}`")).items()
+            for fact, expr in _facts(F.col(f"`{name}`")).items()
+        ]
+    )
+    wide = facts.agg(
+        *[
+            expr.cast("long").alias(f"{i}_{measure}")
+            for i in range(len(names))
+            for measure, expr in _measures(
+                *[F.col(f"`{i}_{fact}`") for fact in ("text", "whole", "stamp")]
+            ).items()
         ]
     )
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
-                *[
-                    F.col(f"`{i}_{m}`").cast("decimal(38,0)" if m == "max_int" else "long").alias(m)
-                    for m in MEASURES
-                ],
+                *[F.col(f"`{i}_{m}`").alias(m) for m in MEASURES],
             )
             for i, name in enumerate(names)
         ]
@@ -68,12 +94,18 @@ def profile(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def _whole_type(p) -> str:
+    small = p["min_int"] >= -(2**31) and p["max_int"] <= 2**31 - 1
+    return "int" if small else "bigint"
+
+
 def _by_content(p, name: str) -> str:
     if p["n_set"] == 0:
         return "string"
-    if "date" not in name.lower():
+    # Leading zeros and numbers beyond 64 bits are not literals.
+    if "date" not in name.lower() and p["n_digits"] == p["n_long"]:
         if p["n_int"] == p["n_set"]:
-            return "int" if -(2**31) <= p["max_int"] <= 2**31 - 1 else "bigint"
+            return _whole_type(p)
         if p["n_float"] == p["n_set"]:
             return "double"
         if p["n_bool"] == p["n_set"]:
@@ -92,7 +124,7 @@ def _by_numbers(p, name: str) -> str:
     if p["n_set"] == 0:
         return "string"
     if p["n_float"] == p["n_set"]:
-        return "int" if p["n_int"] == p["n"] else "double"
+        return _whole_type(p) if p["n_long"] == p["n"] else "double"
     return "timestamp" if p["n_compact"] == p["n_set"] else "string"
 
 
@@ -156,6 +188,4 @@ def size_estimate(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 def typed(df: DataFrame, schema: Mapping[str, str]) -> T.StructType:
     """The Spark schema a declared type map gives for the columns of a table."""
-    from siltstone.schema import to_struct
-
     return to_struct({c: schema[c] for c in df.columns if c in schema})

@@ -12,6 +12,7 @@ from siltstone.functions.rules import blank_to
 from siltstone.operators.aggregates import filtered_sums
 from siltstone.operators.joins import hot_keys, one_to_many, skew_join
 from siltstone.operators.keys import latest_per_key, surrogate_id
+from siltstone.session import materialize
 
 # Channels of outbound money and the status of reported customers.
 CARD_CHANNELS = ("Paymentology-FastLite",)
@@ -121,7 +122,9 @@ def risk_report(
         "user_id", "status", "nationality", "address_country"
     )
     extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    ids = surrogate_id(keyed.select("user_id").distinct(), ["user_id"], "customer_id_generated", **extra)
+    # Numbering reads its keys several times; the log is read for them only once.
+    users = materialize(keyed.select("user_id").distinct(), "users")
+    ids = surrogate_id(users, ["user_id"], "customer_id_generated", **extra)
     ids = ids.withColumnRenamed("user_id", "id_key")
     approved = customers.where(F.col("status") == status)
     numbered = approved.join(ids, F.col("user_id").eqNullSafe(F.col("id_key"))).drop("id_key", "status")

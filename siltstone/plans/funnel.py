@@ -151,7 +151,8 @@ def funnel_report(
     ``REPORT_COLUMNS`` and may be empty.
     """
     people = applicants(log, as_of, since, country)
-    flagged = matched_flag(people, reworks, ["user_id"], "rework", "Y", " ")
+    # One row per user on both sides, so no key can be hot.
+    flagged = matched_flag(people, reworks, ["user_id"], "rework", "Y", " ", hot=[])
     owners = self_employed(forms, circumstances).withColumnRenamed("customer_id", "user_id")
     today = flagged.join(owners, "user_id", "left")
     return merge_report(previous, today)

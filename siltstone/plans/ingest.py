@@ -77,7 +77,7 @@ def backfill_plan(
         {"first_day": first, "last_day": last, "file_group": file_group(F.col("filename"), groups)}
     )
     known = done.select("path").distinct().withColumn("__done", F.lit(True))
-    marked = skew_join(dated, known, ["path"], "left")
+    marked = dated.join(known, "path", "left")  # paths are unique on both sides
     ranged = low is not None or high is not None
     outcome = (
         F.when(F.lit(ranged) & F.col("first_day").isNull(), "undated")
@@ -102,12 +102,14 @@ def backfill_summary(plan: DataFrame) -> DataFrame:
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
     """Paths grouped by header line, so that files of one read share their column order."""
     lines = spark.read.text(list(paths)).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start"
+        "value", "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("position"),
     )
+    # Within one scan a file's first line has the lowest position of its first block.
     heads = (
         lines.where(F.col("file_block_start") == 0)
         .groupBy("file_path")
-        .agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+        .agg(F.min_by("value", "position").alias("header"))
     )
     by_header = heads.groupBy("header").agg(F.collect_list("file_path").alias("paths"))
     return [row["paths"] for row in by_header.collect()]
@@ -128,7 +130,7 @@ def load_card_files(
     """
     found = new_items(list_files(spark, folder, "*.csv").select("path"), manifest, "path")
     grouped = found.withColumn("file_group", file_group(base_name(F.col("path")), groups))
-    todo = grouped.where(F.col("file_group").isNotNull())
+    todo = grouped.where(F.col("file_group").isin(*schemas))
     out: dict[str, DataFrame] = {}
     for group in schemas:
         paths = [r["path"] for r in todo.where(F.col("file_group") == group).orderBy("path").collect()]

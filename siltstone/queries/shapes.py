@@ -164,6 +164,40 @@ def q_envelope(t):
     return rows.select("record.row.*")
 
 
+@query("""
+select o_orderkey, o_totalprice total, [o_orderstatus, 'x'][1] first_tag, null::bigint absent from orders
+""")
+def q_pick_objects(t):
+    """Chosen top-level objects of a response; absent ones are null."""
+    response = F.to_json(
+        F.struct(
+            F.struct(F.col("o_totalprice").alias("amount")).alias("total"),
+            F.array(F.col("o_orderstatus"), F.lit("x")).alias("tags"),
+            F.struct(F.lit(1).alias("pages")).alias("pagination"),
+        )
+    )
+    objects = {"total": "struct<amount: double>", "tags": "array<string>", "absent": "bigint"}
+    picked = n.pick_objects(t.orders.select("o_orderkey", response.alias("r")), "r", objects, ["o_orderkey"])
+    return picked.select(
+        "o_orderkey", F.col("total.amount").alias("total"), F.col("tags")[0].alias("first_tag"), "absent"
+    )
+
+
+@query("""
+select l_orderkey, """ + ", ".join(
+    f"min(case when l_linenumber = {i + 1} then l_partkey end) part_{i}, "
+    f"min(case when l_linenumber = {i + 1} then l_returnflag end) flag_{i}" for i in range(7)
+) + """ from lineitem group by l_orderkey
+""")
+def q_items_to_columns(t):
+    """One row per item to numbered columns, one row per key."""
+    rows = t.lineitem.select(
+        "l_orderkey", (F.col("l_linenumber") - 1).alias("place"),
+        F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"),
+    )
+    return n.items_to_columns(rows, ["l_orderkey"], "place", ["part", "flag"], 7)
+
+
 @query("""
 select 'lake' bucket, 'in/' || s_name || ' x.csv' as "key" from supplier where s_suppkey % 3 <> 0
 """)

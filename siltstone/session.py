@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on; none of them depends on cluster size.
 RUNTIME_CONF = {
@@ -58,3 +58,13 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder, and read it back.
+
+    Cuts the lineage and survives lost executors.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -31,12 +31,19 @@ def write_table(
     max_rows: int = MAX_ROWS_PER_FILE,
     comments: Mapping[str, str] | None = None,
     table: str | None = None,
+    balanced: bool = False,
 ) -> None:
-    """Write a table. ``overwrite_partitions`` replaces only the partitions in ``df``."""
+    """Write a table. ``overwrite_partitions`` replaces only the partitions in ``df``.
+
+    ``balanced`` gathers each partition value first (hot ones in several tasks), for rows
+    that span many partitions and would give every task a small file in each.
+    """
     if fmt not in WRITE_OPTIONS:
         raise ValueError(f"unsupported file format: {fmt}")
     dynamic = mode == "overwrite_partitions"
     out = with_comments(df, comments) if comments else df
+    if balanced and partition_by:
+        out = out.hint("rebalance", *partition_by)
     writer = (
         out.write.format(fmt)
         .mode("overwrite" if dynamic else mode)
@@ -106,8 +113,7 @@ def compact(
     spark.conf.set(name, f"{target_mb}m")
     try:
         write_table(
-            df.hint("rebalance", *partition_by), target, mode="overwrite",
-            partition_by=partition_by, max_rows=0,
+            df, target, mode="overwrite", partition_by=partition_by, max_rows=0, balanced=True
         )
     finally:
         if before is None:
