@@ -14,6 +14,8 @@ from siltstone.schema import with_comments
 # Rows per output file and size of compacted files.
 MAX_ROWS_PER_FILE = 400_000
 TARGET_MB = 127
+# A report up to this many rows is one file.
+REPORT_ROWS = 1_000_000
 
 WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
@@ -87,9 +89,11 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
 
 
 def write_report(df: DataFrame, root: str, as_of: dt.date, prefix: str = "output") -> str:
-    """One dated CSV of report size; returns its folder."""
+    """A dated CSV folder: one file for a report-size result, several for a larger one."""
     path = f"{root.rstrip('/')}/{prefix}_{as_of.strftime('%d%m%y')}_EOD"
-    df.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS["csv"]).csv(path)
+    small = df.limit(REPORT_ROWS + 1).count() <= REPORT_ROWS
+    out = df.repartition(1) if small else df
+    out.write.mode("overwrite").options(**WRITE_OPTIONS["csv"]).csv(path)
     return path
 
 
