@@ -22,7 +22,14 @@ TIMESTAMP_FORMATS = (
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd", "yyyyMMdd")
 
 
-def _literal(value: Column | dt.date | str) -> Column:
+def ts_literal(value: dt.datetime) -> Column:
+    """A wall-clock literal that does not depend on the time zone of the driver."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _literal(value: Column | dt.date) -> Column:
+    if isinstance(value, dt.datetime):
+        return ts_literal(value)
     return value if isinstance(value, Column) else F.lit(value)
 
 

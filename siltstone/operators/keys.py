@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 from itertools import accumulate
@@ -9,6 +10,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.functions.dates import ts_literal
 from siltstone.operators.joins import skew_join
 
 _RANK = "__rank"
@@ -49,13 +51,17 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
 
 def first_seen(
-    df: DataFrame, keys: Sequence[str], ts: str, name: str = "first_seen", since=None
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    name: str = "first_seen",
+    since: dt.datetime | None = None,
 ) -> DataFrame:
     """Attach the first ``ts`` per key; with ``since``, keep keys first seen from then on."""
     firsts = df.groupBy(*keys).agg(F.min(ts).alias(name))
     if since is None:
         return skew_join(df, firsts, keys, "left")
-    return skew_join(df, firsts.where(F.col(name) >= F.lit(since)), keys, "inner")
+    return skew_join(df, firsts.where(F.col(name) >= ts_literal(since)), keys, "inner")
 
 
 def dedup_newest(df: DataFrame, ts: str, keys: Sequence[str] | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.dates import ts_literal
+
 # The two layouts of the text partition column ``date``.
 COMPACT_DAY = "%Y%m%d"
 DASHED_DAY = "%Y-%m-%d"
@@ -23,7 +25,7 @@ def stamp(
     """Add ``date`` (text), ``timestamp_extracted`` and any constant columns."""
     columns = {
         "date": F.lit(as_of.strftime(day_format)),
-        "timestamp_extracted": F.lit(extracted_at.isoformat(sep=" ")).cast("timestamp_ntz"),
+        "timestamp_extracted": ts_literal(extracted_at),
     }
     columns.update({name: F.lit(value) for name, value in constants.items()})
     return df.withColumns(columns)

@@ -14,23 +14,16 @@ from siltstone.operators.joins import hot_keys, one_to_many, skew_join
 from siltstone.operators.keys import latest_per_key, surrogate_id
 from siltstone.session import materialize
 
-# Channels of outbound money and the status of reported customers.
-CARD_CHANNELS = ("Paymentology-FastLite",)
-TRANSFER_CHANNELS = (
-    "CB_Withdrawal_FPS",
-    "MBU_Withdrawal_FPS",
-    "Wise_Local_Payments",
-    "TW_Local_Payments",
-    "BLME_USD_Withdrawal",
-)
+# Type of outbound money and the status of reported customers. Channel names
+# belong to a lake's partners and are passed in.
 OUTBOUND_TYPE = "WITHDRAWAL"
 REPORTED_STATUS = "APPROVED"
 
 
 def outbound_sums(
     txns: DataFrame,
-    card_channels: Sequence[str] = CARD_CHANNELS,
-    transfer_channels: Sequence[str] = TRANSFER_CHANNELS,
+    card_channels: Sequence[str],
+    transfer_channels: Sequence[str],
     outbound: str = OUTBOUND_TYPE,
 ) -> DataFrame:
     """Card and transfer spend per account and currency, both in one pass."""
@@ -54,8 +47,8 @@ def account_360(
     accounts: DataFrame,
     cards: DataFrame,
     txns: DataFrame,
-    card_channels: Sequence[str] = CARD_CHANNELS,
-    transfer_channels: Sequence[str] = TRANSFER_CHANNELS,
+    card_channels: Sequence[str],
+    transfer_channels: Sequence[str],
     outbound: str = OUTBOUND_TYPE,
 ) -> DataFrame:
     """Newest account per holder with its customer, client, card state and outbound sums.

@@ -7,7 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.dates import AGE_BANDS_FROM_16, age_years, band, safe_date, whole_weeks
+from siltstone.functions.dates import (
+    AGE_BANDS_FROM_16,
+    age_years,
+    band,
+    safe_date,
+    ts_literal,
+    whole_weeks,
+)
 from siltstone.functions.rules import decide, yes_no
 from siltstone.functions.text import contains_any, join_strict, replace_literal, strip_end
 from siltstone.operators.joins import matched_flag
@@ -79,8 +86,10 @@ def preferred_flag(df: DataFrame, key: str, ts: str, flag: Column, name: str) ->
     Only two timestamps per key are aggregated, so the pass combines in the map tasks.
     """
     at = F.coalesce(F.col(ts), F.lit("0001-01-01").cast("timestamp_ntz"))
-    newest = df.groupBy(key).agg(
-        F.max(F.when(flag == "Y", at)).alias("y"), F.max(F.when(flag == "N", at)).alias("n")
+    marked = df.select(key, at.alias("at"), flag.alias("flag"))
+    newest = marked.groupBy(key).agg(
+        F.max(F.when(F.col("flag") == "Y", F.col("at"))).alias("y"),
+        F.max(F.when(F.col("flag") == "N", F.col("at"))).alias("n"),
     )
     value = (
         F.when(F.col("y").isNotNull() & (F.col("n").isNull() | (F.col("y") >= F.col("n"))), "Y")
@@ -115,14 +124,14 @@ def applicants(
         F.min(F.when(F.col("address_status") == WAITING_STATUS, F.col("updated_at"))).alias("wait_ts"),
     )
     newest = latest_per_key(changes, ["user_id"], "updated_at", ["status"])
-    rows = newest.join(firsts.where(F.col("join_ts") >= F.lit(since)), "user_id")
+    rows = newest.join(firsts.where(F.col("join_ts") >= ts_literal(since)), "user_id")
     waits = (F.col("address_status") == WAITING_STATUS) & (
         whole_weeks(F.col("wait_ts"), as_of) >= WAITING_WEEKS
     )
-    age = age_years(safe_date(F.col("date_of_birth")), as_of.date())
-    return rows.select(
+    with_age = rows.withColumn("age", age_years(safe_date(F.col("date_of_birth")), as_of.date()))
+    return with_age.select(
         "user_id", "first_name", "last_name", "email", "phone",
-        band(age, AGE_BANDS_FROM_16).alias("age_range"),
+        band(F.col("age"), AGE_BANDS_FROM_16).alias("age_range"),
         F.when(F.col("gender").startswith("Female"), "Female")
         .when(F.col("gender").startswith("Male"), "Male").alias("gender"),
         F.col("status").alias("application_status"),

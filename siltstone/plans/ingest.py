@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.functions.dates import parse_date
+from siltstone.functions.dates import parse_date, ts_literal
 from siltstone.functions.rules import file_dates, file_group, name_date, overlaps, to_number
 from siltstone.functions.text import base_name
 from siltstone.operators import stamp as st
@@ -28,7 +28,7 @@ from siltstone.sources.writers import compact
 
 # Columns of the curated event table and its extracted properties.
 EVENT_COLUMNS = (
-    "amplitude_event_type", "amplitude_id", "event_id", "event_time", "event_type",
+    "event_id", "event_time", "event_type",
     "server_received_time", "server_upload_time", "session_id", "source_id", "user_id",
     "device_id", "uuid", "platform", "device_type", "os_version", "country",
     "device_carrier", "city", "device_family", "dma", "language", "os_name",
@@ -37,6 +37,11 @@ EVENT_COLUMNS = (
 EVENT_PROPERTIES = ("brandId", "type", "marketingId")
 
 
+def event_columns(tool: str) -> tuple[str, ...]:
+    """The event columns with the two that carry the name of the exporting tool in front."""
+    return (f"{tool}_event_type", f"{tool}_id", *EVENT_COLUMNS)
+
+
 def curated_events(
     events: DataFrame,
     day: dt.date | Column | None,
@@ -199,9 +204,7 @@ def positions(
     units = work_list(portfolios.select("portfolio_id").distinct(), first, last, "request_date")
     answered = responses.where(F.col("records").isNotNull())
     rows = answered.select("portfolio_id", F.explode("records").alias("r")).select("portfolio_id", "r.*")
-    stamped = st.swap_date(rows).withColumn(
-        "timestamp_extracted", F.lit(extracted_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    )
+    stamped = st.swap_date(rows).withColumn("timestamp_extracted", ts_literal(extracted_at))
     sizes = answered.groupBy("portfolio_id", "request_date").agg(
         F.sum(F.size("records")).alias("n_records")
     )
@@ -271,7 +274,7 @@ def load_report(
     return rows.select(
         *out,
         F.col("__file_day").alias("date"),
-        F.lit(extracted_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("timestamp_extracted"),
+        ts_literal(extracted_at).alias("timestamp_extracted"),
     )
 
 

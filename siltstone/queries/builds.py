@@ -51,9 +51,9 @@ def q_student_flag(t):
 
 @query(f"""
 with sums as (select parent_account_key, currency_code,
-    cast(sum(case when channel_id = 'Paymentology-FastLite' then cast(amount as decimal(20,2)) end) as double) card,
-    cast(sum(case when channel_id in ('CB_Withdrawal_FPS', 'Wise_Local_Payments') then cast(amount as decimal(20,2)) end) as double) transfer
-  from {sub(i.TRANSACTIONS)} where type = 'WITHDRAWAL' and channel_id in ('Paymentology-FastLite', 'CB_Withdrawal_FPS', 'Wise_Local_Payments')
+    cast(sum(case when channel_id = 'CARD-FAST' then cast(amount as decimal(20,2)) end) as double) card,
+    cast(sum(case when channel_id in ('OUT_DOMESTIC', 'OUT_LOCAL') then cast(amount as decimal(20,2)) end) as double) transfer
+  from {sub(i.TRANSACTIONS)} where type = 'WITHDRAWAL' and channel_id in ('CARD-FAST', 'OUT_DOMESTIC', 'OUT_LOCAL')
   group by all),
 customers as (select * from (select coalesce(key_id, alt_key_id, image_id) user_id, card_ordered,
     row_number() over (partition by coalesce(key_id, alt_key_id, image_id) order by updated_at desc nulls last, status, card_ordered) rn
@@ -79,7 +79,7 @@ def q_account_360(t):
     """Account 360."""
     rows = accounts.account_360(
         frame(t, i.CHANGE_LOG), frame(t, i.CLIENTS), frame(t, i.ACCOUNTS), frame(t, i.CARDS),
-        frame(t, i.TRANSACTIONS),
+        frame(t, i.TRANSACTIONS), ["CARD-FAST"], ["OUT_DOMESTIC", "OUT_LOCAL"],
     )
     times = ("account_last_modified", "account_approved", "account_activated")
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})

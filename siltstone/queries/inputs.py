@@ -67,8 +67,8 @@ TRANSACTIONS = """
 select 'key-' || cast(l_orderkey as string) as parent_account_key,
   case l_returnflag when 'A' then 'GBP' when 'R' then 'USD' else 'EUR' end as currency_code,
   cast(cast(l_extendedprice as decimal(20,2)) as string) as amount,
-  case l_linenumber % 4 when 0 then 'Paymentology-FastLite' when 1 then 'CB_Withdrawal_FPS'
-    when 2 then 'Wise_Local_Payments' else 'OTHER' end as channel_id,
+  case l_linenumber % 4 when 0 then 'CARD-FAST' when 1 then 'OUT_DOMESTIC'
+    when 2 then 'OUT_LOCAL' else 'OTHER' end as channel_id,
   case l_linestatus when 'O' then 'WITHDRAWAL' else 'DEPOSIT' end as type
 from lineitem
 """
