@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.dates import parse_ts
+from siltstone.functions.dates import parse_date, parse_ts
 from siltstone.schema import type_name
 
 _NUMERIC = ("int", "bigint", "float", "double", "decimal", "smallint", "tinyint")
@@ -59,7 +59,8 @@ def conform(
 ) -> DataFrame:
     """Project by name to the declared columns, order and types.
 
-    Values that do not fit become null; ``on_bad='zero'`` turns bad numbers into 0.
+    Values that do not fit become null; ``on_bad='zero'`` turns bad numbers into 0 and
+    ``on_bad='raise'`` fails the job. Date text may have any layout that inference knows.
     Missing columns are null-filled, or left out with ``fill_missing=False``. Nulls stay
     null, also in text columns.
     """
@@ -75,11 +76,15 @@ def conform(
         if kind == present[name]:
             cast = value
         elif kind in ("timestamp", "date") and present[name] == "string":
-            cast = parse_ts(value).cast(kind)
+            cast = F.coalesce(parse_ts(value).cast(kind), parse_date(value).cast(kind))
         else:
             cast = value.try_cast(kind)
             if on_bad == "zero" and kind.startswith(_NUMERIC):
                 cast = F.coalesce(cast, F.lit(0).cast(kind))
+        if on_bad == "raise":
+            lost = value.isNotNull() & cast.isNull()
+            message = F.lit(f"column {name} has a value that is not {kind}")
+            cast = F.when(lost, F.raise_error(message)).otherwise(cast)
         out.append(cast.alias(name))
     return df.select(*out)
 
@@ -109,9 +114,13 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+# Fixed value: where a camelCase name gets an underscore.
+WORD_START = "(?!^)([A-Z]+)"
+
+
 def snake_case(df: DataFrame) -> DataFrame:
     """camelCase names to snake_case; a run of capitals counts as one word start."""
-    return _renamed(df, [re.sub("(?!^)([A-Z]+)", r"_\1", c).lower() for c in df.columns])
+    return _renamed(df, [re.sub(WORD_START, r"_\1", c).lower() for c in df.columns])
 
 
 def lower_names(df: DataFrame) -> DataFrame:

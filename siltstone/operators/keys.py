@@ -88,47 +88,64 @@ def surrogate_id(
 
     Rows go to value-based buckets, are numbered inside their bucket and shifted by the
     size of the buckets before it. Bucket borders come from a hashed sample of bounded
-    size, so every evaluation puts a row into the same bucket.
+    size, so every evaluation puts a row into the same bucket. The keys are read four
+    times: materialize a costly input first.
     """
-    order = F.struct(
-        *[
-            part
-            for i, k in enumerate(keys)
-            for part in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))
-        ]
-    )
+    sort = [F.col(k).asc_nulls_last() for k in keys]
     total = df.count()
     buckets = min(MAX_BUCKETS, max(1, total // rows_per_bucket))
     if buckets == 1:
-        everything = Window.partitionBy(F.lit(0)).orderBy(order)
+        everything = Window.partitionBy(F.lit(0)).orderBy(*sort)
         return df.withColumn(name, F.row_number().over(everything).cast("long"))
 
-    keyed = df.select(order.alias("k"))
+    # Comparing (is null, value) pairs puts nulls last.
+    pairs = [
+        part
+        for i, k in enumerate(keys)
+        for part in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))
+    ]
+    keyed = df.withColumn("__key", F.struct(*pairs))
     step = max(1, total // (buckets * SAMPLE_PER_BUCKET))
-    sample = keyed.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0).distinct()
-    found = [row[0] for row in sample.orderBy("k").select(F.to_json("k")).collect()]
+    sample = keyed.select("__key").where(F.pmod(F.xxhash64("__key"), F.lit(step)) == 0).distinct()
+    found = [r[0] for r in sample.orderBy("__key").select(F.to_json("__key")).collect()]
     borders = [found[i * len(found) // buckets] for i in range(1, buckets)] if found else []
 
-    key_type = keyed.schema["k"].dataType.simpleString()
-    bucketed = df.withColumn("__bucket", _bucket_of(order, borders, key_type))
+    bucketed = _bucketed(keyed, borders).drop("__key")
     # At most MAX_BUCKETS counts, turned into the number of rows before each bucket.
-    sizes = {row["__bucket"]: row["count"] for row in bucketed.groupBy("__bucket").count().collect()}
+    sizes = {r["__bucket"]: r["count"] for r in bucketed.groupBy("__bucket").count().collect()}
     before = [0, *accumulate(sizes.get(i, 0) for i in range(len(borders)))]
     shift = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__bucket"))
-    inside = Window.partitionBy("__bucket").orderBy(order)
+    inside = Window.partitionBy("__bucket").orderBy(*sort)
     numbered = bucketed.withColumn(name, F.row_number().over(inside) + shift)
     return numbered.drop("__bucket")
 
 
-def _bucket_of(order: Column, borders: list[str], key_type: str) -> Column:
-    """Number of borders (JSON, ascending) at or below the key, searched in two levels."""
+def _bucketed(keyed: DataFrame, borders: list[str]) -> DataFrame:
+    """Add ``__bucket``, the number of borders (JSON, ascending) at or below ``__key``.
+
+    The search has two levels, so a row meets about twice the square root of the borders.
+    """
     if not borders:
-        return F.lit(0)
+        return keyed.withColumn("__bucket", F.lit(0))
+    kind = keyed.schema["__key"].dataType.simpleString()
     width = max(1, int(len(borders) ** 0.5))
     groups = [borders[i : i + width] for i in range(0, len(borders), width)]
+    heads = F.from_json(F.lit("[" + ",".join(g[0] for g in groups) + "]"), f"array<{kind}>")
     bodies_json = "[" + ",".join("[" + ",".join(g) + "]" for g in groups) + "]"
-    heads = F.from_json(F.lit("[" + ",".join(g[0] for g in groups) + "]"), f"array<{key_type}>")
-    bodies = F.from_json(F.lit(bodies_json), f"array<array<{key_type}>>")
-    group = F.size(F.filter(heads, lambda b: b <= order))
-    inside = F.size(F.filter(F.try_element_at(bodies, group), lambda b: b <= order))
-    return F.when(group == 0, 0).otherwise((group - 1) * width + inside)
+    bodies = F.from_json(F.lit(bodies_json), f"array<array<{kind}>>")
+
+    if len(keyed.schema["__key"].dataType) == 2:  # one key: compare values, not pairs
+        missing, value = F.col("__key.n0"), F.col("__key.k0")
+
+        def reached(border: Column) -> Column:
+            return missing | (~border["n0"] & (border["k0"] <= value))
+    else:
+
+        def reached(border: Column) -> Column:
+            return border <= F.col("__key")
+
+    group = keyed.withColumn("__group", F.size(F.filter(heads, reached)))
+    body = F.try_element_at(bodies, F.col("__group"))
+    inside = (F.col("__group") - 1) * width + F.size(F.filter(body, reached))
+    bucket = F.when(F.col("__group") == 0, 0).otherwise(inside)
+    return group.withColumn("__bucket", bucket).drop("__group")

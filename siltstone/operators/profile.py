@@ -132,7 +132,7 @@ RULES = {"content": _by_content, "dates": _by_dates, "numbers": _by_numbers}
 
 # Declared type of columns that are not text.
 NATIVE_TYPES = {
-    "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int",
+    "tinyint": "int", "smallint": "int", "int": "int", "bigint": "bigint",
     "float": "double", "double": "double", "boolean": "boolean",
     "timestamp": "timestamp", "timestamp_ntz": "timestamp", "date": "timestamp",
 }

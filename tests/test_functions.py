@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import dates, rules, text
 from siltstone.operators import conform as c
+from siltstone.operators import profile
 from siltstone.operators.nested import parse_map
 from siltstone.plans.funnel import bucket
 
@@ -168,6 +169,20 @@ def test_row_key_keeps_null_and_parts_apart(spark):
     assert len(set(keys)) == 4
 
 
+def test_conform_reads_every_layout_that_inference_accepts(spark):
+    texts = [("15/03/2024",), ("15-3-2024",), ("2024-03-15",), ("20240315",), ("Mar 15, 2024, 12:00:00 AM",)]
+    df = spark.createDataFrame(texts, "made string")
+    schema = profile.infer_schema(df)
+    assert schema == {"made": "date"}
+    assert {r[0] for r in c.conform(df, schema).collect()} == {D(2024, 3, 15)}
+
+
+def test_conform_can_raise(spark):
+    df = spark.createDataFrame([("x",), (None,)], "n string")
+    with pytest.raises(PySparkException, match="not int"):
+        c.conform(df, {"n": "int"}, on_bad="raise").collect()
+
+
 def test_conform_null_stays_null_and_bad_values_do_not_fail(spark):
     df = spark.createDataFrame([("12.5", None, "2024-01-01"), ("x", "t", "bad")], "n string, s string, d string")
     out = c.conform(df, {"s": "string", "n": "int", "d": "date", "extra": "timestamp"})

@@ -239,7 +239,7 @@ def test_date_columns(spark, values, expected):
     assert infer(spark, values) == expected
 
 
-@pytest.mark.parametrize("kind,value,expected", [("boolean", True, "boolean"), ("bigint", 1, "int"), ("double", 1.0, "double"), ("timestamp", dt.datetime(2024, 1, 1), "timestamp")])
+@pytest.mark.parametrize("kind,value,expected", [("boolean", True, "boolean"), ("int", 1, "int"), ("bigint", 1, "bigint"), ("double", 1.0, "double"), ("timestamp", dt.datetime(2024, 1, 1), "timestamp")])
 def test_native_types(spark, kind, value, expected):
     assert infer(spark, [value], kind=kind) == expected
 

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from siltstone.operators import joins
 from siltstone.queries import ORACLES, QUERIES
 from tests.oracle_check import connect, difference, oracle_rows, spark_rows
 
@@ -33,6 +34,23 @@ def test_query_equals_oracle(spark, oracle, name):
         assert got[1]
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["q_lookup", "q_join_detail", "q_semi", "q_new_keys", "q_matched_flag", "q_one_to_many", "q_first_seen",
+     "q_joined_since", "q_latest_with_ties", "q_student_flag", "q_changed_children", "q_account_360",
+     "q_risk_report", "q_skew_join"],
+)
+def test_hot_key_path_gives_the_same_rows(spark, oracle, name, monkeypatch):
+    """Every key with half a percent of the rows counts as hot; nothing is broadcast by size."""
+    monkeypatch.setattr(joins, "MIN_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = spark_rows(QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert difference(got, oracle_rows(oracle, ORACLES[name])) is None
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as entry
 
