@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # The JVM does not compile larger methods; wide projections run faster split up.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
