@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,3 +25,8 @@ def salt_of(*cols: Column, salts: int = SALTS) -> Column:
 def salted(df: DataFrame, salts: int = SALTS) -> DataFrame:
     """Every row once for each salt, as column ``salt``."""
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def sent_whole(name: str) -> None:
+    """Send a module's code along with its tasks, so that executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[name])

@@ -1,13 +1,25 @@
 """The registered queries of the training-data operators, and SQL for those that it can express."""
 
+from siltstone.llm.archive import OP2_SQL, op2_archive
+from siltstone.llm.chat_format import OP1_SQL, op1_chat_format
+from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.quality import OP9_SQL, op9_quality
 from siltstone.llm.sharding import OP3_SQL, op3_sharding
 from siltstone.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op2_archive": op2_archive,
     "op3_sharding": op3_sharding,
     "op5_url_filter": op5_url_filter,
     "op9_quality": op9_quality,
+    "op10_html_text": op10_html_text,
 }
 
-ORACLES = {"op3_sharding": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_quality": OP9_SQL}
+ORACLES = {
+    "op1_chat_format": OP1_SQL,
+    "op2_archive": OP2_SQL,
+    "op3_sharding": OP3_SQL,
+    "op5_url_filter": OP5_SQL,
+    "op9_quality": OP9_SQL,
+}
