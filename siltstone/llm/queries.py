@@ -3,6 +3,7 @@
 from siltstone.llm.archive import OP2_SQL, op2_archive
 from siltstone.llm.chat_format import OP1_SQL, op1_chat_format
 from siltstone.llm.html_density import op10_html_text
+from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
 from siltstone.llm.quality import OP9_SQL, op9_quality
 from siltstone.llm.sharding import OP3_SQL, op3_sharding
 from siltstone.llm.url_filter import OP5_SQL, op5_url_filter
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_archive": op2_archive,
     "op3_sharding": op3_sharding,
     "op5_url_filter": op5_url_filter,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
 }
@@ -21,5 +23,6 @@ ORACLES = {
     "op2_archive": OP2_SQL,
     "op3_sharding": OP3_SQL,
     "op5_url_filter": OP5_SQL,
+    "op7_near_duplicates": OP7_SQL,
     "op9_quality": OP9_SQL,
 }
