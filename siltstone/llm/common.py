@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,3 +31,11 @@ def salted(df: DataFrame, salts: int = SALTS) -> DataFrame:
 def sent_whole(name: str) -> None:
     """Send a module's code along with its tasks, so that executors need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
+def once(name: str, make):
+    """``make()``, kept for the life of a Python worker, whose tasks load their code anew."""
+    kept = sys.modules.setdefault("_siltstone_once", types.ModuleType("_siltstone_once")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

@@ -4,6 +4,7 @@ from siltstone.llm.archive import OP2_SQL, op2_archive
 from siltstone.llm.chat_format import OP1_SQL, op1_chat_format
 from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
+from siltstone.llm.packing import op6_packing
 from siltstone.llm.quality import OP9_SQL, op9_quality
 from siltstone.llm.sharding import OP3_SQL, op3_sharding
 from siltstone.llm.url_filter import OP5_SQL, op5_url_filter
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_archive": op2_archive,
     "op3_sharding": op3_sharding,
     "op5_url_filter": op5_url_filter,
+    "op6_packing": op6_packing,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
