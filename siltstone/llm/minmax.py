@@ -18,104 +18,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm import words
 from siltstone.llm.common import sent_whole, table
+from siltstone.llm.words import BASE, mixed
 from siltstone.session import materialize
 
+sent_whole(words.__name__)
 sent_whole(__name__)
 
 #: Words in a shingle, and the least similarity in percent.
 SHINGLE, PERCENT = 3, 85
 #: Bands of rows: at a similarity of 0.85 a pair shares no band with a chance of (1 - 0.85^4)^24 = 2e-8.
 BANDS, ROWS = 24, 4
-#: Bytes of text that are cut into words at once.
-CHUNK = 1 << 21
 
-_GENERATOR = np.random.Generator(np.random.PCG64(20240501))
-BYTE_VALUE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BYTE_VALUE[65:91] = BYTE_VALUE[97:123]  # A-Z as a-z
+_GENERATOR = np.random.Generator(np.random.PCG64(20240502))
 FACTORS = _GENERATOR.integers(1, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _GENERATOR.integers(0, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64)
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BLANK = np.zeros(256, dtype=bool)
-BLANK[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def powers(n: int) -> np.ndarray:
-    out = np.full(n, BASE, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of UTF-8 bytes, and where each begins. A-Z count as a-z."""
-    filled = ~BLANK[data]
-    edge = np.diff(filled.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(starts):
-        return np.empty(0, np.uint64), starts
-    sizes = ends - starts
-    inside = np.arange(len(data), dtype=np.int64)[filled] - np.repeat(starts, sizes)
-    value = BYTE_VALUE[data[filled]] * powers(int(sizes.max()))[inside]
-    sums = np.add.reduceat(value, np.concatenate(([0], np.cumsum(sizes)[:-1])))
-    return mixed(sums + sizes.astype(np.uint64)), starts
-
-
-def chunks(text: bytes) -> Iterator[bytes]:
-    """A long text in parts that end at blanks; a word longer than a part stays whole."""
-    at = 0
-    while len(text) - at > CHUNK:
-        cut = max(text.rfind(bytes([b]), at, at + CHUNK) for b in (0x20, 0x0A, 0x09, 0x0B, 0x0C, 0x0D))
-        if cut <= at:
-            found = [p for b in (0x20, 0x0A, 0x09, 0x0B, 0x0C, 0x0D) if (p := text.find(bytes([b]), at + CHUNK)) >= 0]
-            cut = min(found, default=len(text))
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
-def shingles_of_words(words: np.ndarray) -> np.ndarray:
+
+
+def shingles_of_words(found: np.ndarray) -> np.ndarray:
     """Sorted distinct shingle hashes; fewer words than a shingle are one shingle, none give none."""
-    n = len(words)
+    n = len(found)
     if n == 0:
-        return words
+        return found
     if n < SHINGLE:
         total = np.uint64(n)
-        for w in words:
+        for w in found:
             total = mixed(np.array([total * BASE + w], dtype=np.uint64))[0]
         return np.array([total], dtype=np.uint64)
-    total = words[: n - SHINGLE + 1].copy()
+    total = found[: n - SHINGLE + 1].copy()
     for k in range(1, SHINGLE):
-        total = mixed(total) + words[k : n - SHINGLE + 1 + k]
+        total = mixed(total) + found[k : n - SHINGLE + 1 + k]
     return np.unique(mixed(total))
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The set of each text. Short texts are cut into words together."""
-    out: list[np.ndarray] = []
-    at = 0
+    """The set of each text."""
     with np.errstate(over="ignore"):
-        while at < len(texts):
-            stop, size = at, 0
-            while stop < len(texts) and (stop == at or size + len(texts[stop]) < CHUNK):
-                size += len(texts[stop]) + 1
-                stop += 1
-            if stop == at + 1:
-                parts = [word_hashes(np.frombuffer(c, np.uint8))[0] for c in chunks(texts[at])]
-                out.append(shingles_of_words(np.concatenate(parts)))
-            else:
-                group = texts[at:stop]
-                hashes, starts = word_hashes(np.frombuffer(b" ".join(group), np.uint8))
-                bounds = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in group]))
-                out += [shingles_of_words(hashes[bounds[i] : bounds[i + 1]]) for i in range(len(group))]
-            at = stop
-    return out
+        return [shingles_of_words(w) for w in words.hashes_of_texts(texts, words.NOT_BLANK)]
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -140,10 +80,6 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def encoded(column: pa.Array) -> list[bytes]:
-    return [x.as_py() or b"" for x in column.cast(pa.binary())]
-
-
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, n_shingles, digest of the set, bands) of every document; no bands for empty sets."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -154,7 +90,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sets = shingle_sets(encoded(part.column(2)))
+                sets = shingle_sets(words.encoded(part.column(2)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),

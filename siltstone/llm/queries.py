@@ -2,6 +2,7 @@
 
 from siltstone.llm.archive import OP2_SQL, op2_archive
 from siltstone.llm.chat_format import OP1_SQL, op1_chat_format
+from siltstone.llm.decontaminate import OP8_SQL, op8_decontaminate
 from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
 from siltstone.llm.packing import op6_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_packing": op6_packing,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
 }
@@ -26,5 +28,6 @@ ORACLES = {
     "op3_sharding": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op7_near_duplicates": OP7_SQL,
+    "op8_decontaminate": OP8_SQL,
     "op9_quality": OP9_SQL,
 }
