@@ -8,12 +8,14 @@ from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
 from siltstone.llm.packing import op6_packing
 from siltstone.llm.quality import OP9_SQL, op9_quality
 from siltstone.llm.sharding import OP3_SQL, op3_sharding
+from siltstone.llm.toxicity import op4_toxicity
 from siltstone.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_archive": op2_archive,
     "op3_sharding": op3_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
     "op6_packing": op6_packing,
     "op7_near_duplicates": op7_near_duplicates,
