@@ -9,11 +9,14 @@ labels follow from those of their documents, and a document is as toxic as its w
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -448,13 +451,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", toxic_rows:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``_score``. Row by row: nothing is shuffled. Null counts as empty; empty texts get the least score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    pickled = cloudpickle.dumps(model)
+    name = f"toxicity-{hashlib.sha256(pickled).hexdigest()}"
+    sent = docs.sparkSession.sparkContext.broadcast(pickled)
     out = docs.withColumn("_score", F.lit(0.0).cast("double"))
     position = docs.columns.index(text_col)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = sent.value
-        reader = once(f"toxicity-{sent._path}", fitted.reader) if fitted.landmarks else None
+        fitted = once(name, lambda: pickle.loads(sent.value))
+        reader = once(f"{name}-reader", fitted.reader) if fitted.landmarks else None
         for batch in batches:
             scores = fitted.scores(reader, words.encoded(batch.column(position)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], batch.schema.names)
