@@ -4,8 +4,8 @@ A signature of 2k values costs k hash evaluations per shingle. Bands of the sign
 every link is confirmed on the full shingle sets; links give components.
 
 Texts with equal sets form one class, and only classes are compared. A band's bucket is not expanded
-into pairs: its members meet two of them first, and only members that are then still in different
-components meet each other. So thousands of copies of one text cost a few comparisons each.
+into pairs: its members meet two of them first. Where members are then still in different components, all
+of the bucket are compared in blocks. So thousands of copies of one text cost a few comparisons each.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ sent_whole(__name__)
 
 #: Words in a shingle, and the least similarity in percent.
 SHINGLE, PERCENT = 3, 85
+#: Members of a bucket that are compared with as many others at once.
+BLOCK = 256
 #: Bands of rows: at a similarity of 0.85 a pair shares no band with a chance of (1 - 0.85^4)^24 = 2e-8.
 BANDS, ROWS = 24, 4
 
@@ -103,6 +105,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return picked.mapInArrow(sign, schema)
 
 
+def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, text) of the named classes only."""
+    named = classes.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "id", "text_key")
+    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_key"), F.col(text_col).alias("text"))
+    return keyed.join(named, ["id", "text_key"]).dropDuplicates(["node"]).select("node", "text")
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough.
 
@@ -110,15 +119,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     joins once, so that Spark can split the other.
     """
     pairs = materialize(pairs, "minmax-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = classes.join(wanted, "node", "left_semi").select("node", "id", "text_key")
-    texts = materialize(
-        docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_key"), F.col(text_col).alias("text"))
-        .join(named, ["id", "text_key"])
-        .dropDuplicates(["node"])
-        .select("node", "text"),
-        "minmax-texts",
-    )
+    texts = materialize(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, docs, id_col, text_col), "minmax-texts")
     with_texts = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -150,6 +151,75 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     return materialize(with_texts.mapInArrow(compare, "a bigint, b bigint"), "minmax-links")
 
 
+def short_sets(texts: DataFrame) -> DataFrame:
+    """(node, tokens, lost): sets as sorted 32-bit values, and how many of the set two of them share."""
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                sets = shingle_sets(words.encoded(part.column(1)))
+                short = [np.unique((x >> np.uint64(32)).astype(np.uint32)) for x in sets]
+                lost = [len(x) - len(y) for x, y in zip(sets, short, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([y.tobytes() for y in short], pa.binary()), pa.array(lost, pa.int64())], ["node", "tokens", "lost"]
+                )
+
+    return texts.mapInArrow(shorten, "node bigint, tokens binary, lost bigint")
+
+
+def matrix(sets: list[np.ndarray], common: np.ndarray) -> np.ndarray:
+    """Which of the common tokens each set has, as ones and zeros."""
+    out = np.zeros((len(sets), len(common)), dtype=np.float32)
+    for row, found in enumerate(sets):
+        out[row, np.searchsorted(common, found[np.isin(found, common, assume_unique=True)])] = 1
+    return out
+
+
+def pairs_of_blocks(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different roots that may be similar enough.
+
+    A bucket's members are dealt to blocks. Blocks meet blocks, and one product of two small matrices
+    gives all intersections of two blocks; a bucket of m members makes (m / BLOCK)^2 rows. Sets are
+    cut to 32 bits here, with the values that this may hide added, so no pair is missed.
+    """
+    sizes = apart.groupBy("band").agg(F.count("*").alias("m"))
+    members = (
+        apart.join(sizes, "band").join(sets, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / F.lit(BLOCK))))
+        .groupBy("band", "block")
+        .agg(
+            F.collect_list(F.struct("node", "root", "n", "lost", "tokens")).alias("members"),
+            F.max(F.col("root") != F.col("top")).alias("apart"),
+        )
+    )
+    members = materialize(members, "minmax-blocks")
+    left = members.filter("apart").select("band", F.col("block").alias("x"), F.col("members").alias("left"))
+    right = members.select("band", F.col("block").alias("y"), F.col("apart").alias("both"), F.col("members").alias("right"))
+    met = left.join(right, "band").filter("not both or x <= y").select("left", "right")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = [batch.column(k)[row].as_py() for k in (0, 1)]
+                sets = [[np.frombuffer(x["tokens"], np.uint32) for x in side] for side in sides]
+                node, root, n, lost = (
+                    [np.array([x[name] for x in side], dtype=np.int64) for side in sides] for name in ("node", "root", "n", "lost")
+                )
+                common = np.intersect1d(np.concatenate(sets[0]), np.concatenate(sets[1]))
+                both = np.zeros((len(sets[0]), len(sets[1])))
+                for at in range(0, len(common), 1 << 14):
+                    part = common[at : at + (1 << 14)]
+                    both += matrix(sets[0], part) @ matrix(sets[1], part).T
+                both += np.minimum(lost[0][:, None], lost[1][None, :])
+                union = n[0][:, None] + n[1][None, :] - both
+                x, y = np.nonzero((100 * both >= percent * union) & (root[0][:, None] != root[1][None, :]))
+                a, b = node[0][x], node[1][y]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    return met.mapInArrow(meet, "a bigint, b bigint").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for nodes that have links.
 
@@ -208,7 +278,7 @@ def near_duplicates(
     links = confirmed(first, classes, docs, id_col, text_col, percent)
     roots = components(links)
 
-    # Members of a bucket that are still apart: all but the bucket's largest component meet all others.
+    # Buckets whose members are still apart: blocks with members outside the largest component meet all.
     placed = shared.select("band", "node", "n").join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("band", "root").agg(F.count("*").alias("members"))
     largest = (
@@ -216,13 +286,8 @@ def near_duplicates(
         .filter("parts > 1").select("band", F.col("top.root").alias("top"))
     )
     apart = materialize(placed.join(largest, "band").select("band", "node", "n", "root", "top"), "minmax-apart")
-    x = apart.filter("root <> top").select("band", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xroot"))
-    y = apart.select("band", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yroot"))
-    rest = (
-        x.join(y, "band").filter((F.col("xroot") != F.col("yroot")) & fits("xn", "yn"))
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        .join(first.select("a", "b"), ["a", "b"], "left_anti")
-    )
+    sets = materialize(short_sets(texts_of(apart, classes, docs, id_col, text_col)), "minmax-sets")
+    rest = pairs_of_blocks(apart, sets, percent)
     more = confirmed(rest, classes, docs, id_col, text_col, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
