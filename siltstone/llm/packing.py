@@ -147,12 +147,12 @@ def _packer(number: int, last: bool, capacity: int):
     """Packs one group: closes what is proven best or well filled, and gives the loosest sequences up."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_length", "_row"], ascending=[False, True], ignore_index=True)
-        group = int(pdf["_group"].iloc[0])
-        lengths = pdf["_length"].to_numpy()
+        pdf = pdf.sort_values(["_pack_length", "_pack_row"], ascending=[False, True], ignore_index=True)
+        group = int(pdf["_pack_group"].iloc[0])
+        lengths = pdf["_pack_length"].to_numpy()
         place = best_fit(lengths, capacity)
-        if number and place.max() + 1 >= pdf["_bin"].nunique():
-            place = pd.factorize(pdf["_bin"])[0]
+        if number and place.max() + 1 >= pdf["_pack_bin"].nunique():
+            place = pd.factorize(pdf["_pack_bin"])[0]
         made = int(place.max()) + 1
         used = np.bincount(place, weights=lengths).astype(np.int64)
         given = np.zeros(made, dtype=bool)
@@ -165,7 +165,7 @@ def _packer(number: int, last: bool, capacity: int):
         offset = np.empty(len(by), dtype=np.int64)
         offset[by] = before - before[np.searchsorted(at, np.arange(made))][at]
         return pd.DataFrame({
-            "_row": pdf["_row"], "_length": lengths, "_bin": place + (number << 56) + (group << 24), "offset": offset,
+            "_pack_row": pdf["_pack_row"], "_pack_length": lengths, "_pack_bin": place + (number << 56) + (group << 24), "offset": offset,
             "closed": ~given[place],
         })
 
@@ -181,26 +181,26 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROU
     An empty table gives no rows.
     """
     columns = pieces.columns
-    rows = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pack-pieces")
+    rows = materialize(pieces.withColumn("_pack_row", F.monotonically_increasing_id()), "pack-pieces")
     alone = rows.filter(F.col("length") >= capacity).select(
-        *columns, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *columns, (-F.col("_pack_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    loose = rows.filter(F.col("length") < capacity).select("_row", F.col("length").alias("_length"))
+    loose = rows.filter(F.col("length") < capacity).select("_pack_row", F.col("length").alias("_pack_length"))
     count = loose.count()
     done: DataFrame | None = None
-    state = loose.withColumn("_bin", F.col("_row"))  # each piece by itself
-    schema = "_row bigint, _length bigint, _bin bigint, offset bigint, closed boolean"
+    state = loose.withColumn("_pack_bin", F.col("_pack_row"))  # each piece by itself
+    schema = "_pack_row bigint, _pack_length bigint, _pack_bin bigint, offset bigint, closed boolean"
     for number in range(rounds + 1):
         groups = max(1, -(-count // group_pieces))
-        dealt = state.withColumn("_group", F.pmod(F.xxhash64("_bin", F.lit(number)), F.lit(groups)))
-        state = materialize(dealt.groupBy("_group").applyInPandas(_packer(number, number == rounds, capacity), schema), "pack-round")
-        closed = state.filter("closed").select("_row", F.col("_bin").alias("sequence_id"), "offset")
+        dealt = state.withColumn("_pack_group", F.pmod(F.xxhash64("_pack_bin", F.lit(number)), F.lit(groups)))
+        state = materialize(dealt.groupBy("_pack_group").applyInPandas(_packer(number, number == rounds, capacity), schema), "pack-round")
+        closed = state.filter("closed").select("_pack_row", F.col("_pack_bin").alias("sequence_id"), "offset")
         done = closed if done is None else done.unionByName(closed)
-        state = state.filter("not closed").select("_row", "_length", "_bin")
+        state = state.filter("not closed").select("_pack_row", "_pack_length", "_pack_bin")
         count = state.count()
         if not count:
             break
-    return rows.filter(F.col("length") < capacity).join(done, "_row").select(*columns, "sequence_id", "offset").unionByName(alone)
+    return rows.filter(F.col("length") < capacity).join(done, "_pack_row").select(*columns, "sequence_id", "offset").unionByName(alone)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
