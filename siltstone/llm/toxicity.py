@@ -28,10 +28,10 @@ sent_whole(words.__name__)
 sent_whole(__name__)
 
 #: Labelled documents that a model is fitted on, at most, toxic and other; the first by a hash of their id.
-TOXIC_ROWS, OTHER_ROWS = 2000, 5000
+TOXIC_ROWS, OTHER_ROWS = 1500, 3500
 LANDMARKS = 128
 #: Words among which landmarks are chosen.
-CANDIDATES = 384
+CANDIDATES = 256
 #: The kernel of sentences takes this power of the words' normalised kernel, which is a kernel again.
 POWER = 3
 #: Normalised kernel values below this count as 0.
@@ -42,6 +42,8 @@ SPAN = 7
 PATTERNS = tuple((a, b) for b in range(2, SPAN) for a in range(1, b))
 #: Words longer than this are seen through overlapping windows of it, in bytes.
 LONGEST = 24
+#: Words whose kernels are taken at once.
+SLICE = 4096
 #: Words without any kernel value that a worker remembers.
 REMEMBERED = 1 << 21
 SENTENCE_END = np.zeros(256, dtype=bool)
@@ -181,8 +183,14 @@ class Kernel:
         Words that no landmark can reach are left out by upper bounds first; that loses none.
         """
         none = np.empty(0, np.int64), np.empty((0, len(self.landmarks)), np.float32)
-        if not len(sizes):
-            return none
+        parts = [none]
+        for at in range(0, len(sizes), SLICE):
+            number, value = self._slice(data, starts[at : at + SLICE], sizes[at : at + SLICE])
+            parts.append((number + at, value))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _slice(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        none = np.empty(0, np.int64), np.empty((0, len(self.landmarks)), np.float32)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         begins = np.cumsum(sizes) - sizes
         place = np.arange(int(sizes.sum())) - np.repeat(begins, sizes)
@@ -273,40 +281,56 @@ class Reader:
         return found.text[order[begin]], features
 
 
+def document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted word hashes, and in how many texts each occurs."""
+    words_seen, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for at in range(0, len(texts), 500):
+        with np.errstate(over="ignore"):
+            found = words_of(texts[at : at + 500])
+        order = np.lexsort((found.hashes, found.text))
+        text, hashes = found.text[order], found.hashes[order]
+        first = np.concatenate(([True], (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])))[: len(hashes)]
+        some, count = np.unique(hashes[first], return_counts=True)
+        words_seen, where = np.unique(np.concatenate((words_seen, some)), return_inverse=True)
+        counts = np.bincount(where, np.concatenate((counts, count)), minlength=len(words_seen)).astype(np.int64)
+    return words_seen, counts
+
+
 def choose_landmarks(toxic: list[bytes], other: list[bytes], most: int = LANDMARKS) -> list[bytes]:
-    """Words that tell toxic from other texts best, each away from those before it."""
-    counts = []
-    forms: dict[int, bytes] = {}
-    for texts in (toxic, other):
-        seen = []
-        for at in range(0, len(texts), 200):
-            with np.errstate(over="ignore"):
-                found = words_of([t.strip() for t in texts[at : at + 200]])
-            pair = np.unique(np.stack((found.text.astype(np.uint64), found.hashes)), axis=1)
-            seen.append(pair[1])
-            if texts is toxic:
-                _, first = np.unique(found.hashes, return_index=True)
-                for w in first:
-                    if 3 <= found.sizes[w] <= LONGEST:
-                        s = found.starts[w]
-                        forms.setdefault(int(found.hashes[w]), found.data[s : s + found.sizes[w]].tobytes())
-        counts.append(dict(zip(*(x.tolist() for x in np.unique(np.concatenate(seen), return_counts=True)), strict=True)) if seen else {})
+    """Words that tell toxic from other texts best, each adding texts to those before it.
+
+    One half of the texts proposes words, the other judges them: what only chance made frequent in the
+    first half does not last.
+    """
+    toxic, other, judges = toxic[::2], other[::2], (toxic[1::2], other[1::2])
+    toxic_words, toxic_counts = document_counts(toxic)
+    toxic_words, toxic_counts = toxic_words[toxic_counts >= 2], toxic_counts[toxic_counts >= 2]
+    other_words, other_counts = document_counts(other)
+    at = np.searchsorted(other_words, toxic_words)
+    at[at == len(other_words)] = 0
+    same = other_words[at] == toxic_words if len(other_words) else np.zeros(len(at), bool)
+    counts = dict(zip(toxic_words.tolist(), zip(toxic_counts.tolist(), np.where(same, other_counts[at] if len(other_words) else 0, 0).tolist(), strict=True), strict=True))
     merged: dict[bytes, list[int]] = {}
-    for h, form in forms.items():
-        plain = form.strip(b".,;:!?\"'()")
-        if len(plain) >= 3:
-            both = merged.setdefault(plain, [0, 0])
-            both[0] += counts[0].get(h, 0)
-            both[1] += counts[1].get(h, 0)
+    for k in range(0, len(toxic), 200):
+        with np.errstate(over="ignore"):
+            found = words_of(toxic[k : k + 200])
+        for w in np.unique(found.hashes, return_index=True)[1]:
+            both = counts.pop(int(found.hashes[w]), None)
+            if both and 3 <= found.sizes[w] <= LONGEST:
+                form = found.data[found.starts[w] : found.starts[w] + found.sizes[w]].tobytes()
+                seen = merged.setdefault(form, [0, 0])
+                seen[0] += both[0]
+                seen[1] += both[1]
     n, m = len(toxic), len(other)
-
-    def odds(a, b):
-        return np.log((a + 0.5) / (n + 1)) - np.log((b + 0.5) / (m + 1))
-
+    odds = lambda a, b: np.log((a + 0.5) / (n + 1)) - np.log((b + 0.5) / (m + 1))
     ranked = sorted((w for w, (a, b) in merged.items() if a >= 2 and odds(a, b) > 1), key=lambda w: (-odds(*merged[w]) * merged[w][0], w))[:CANDIDATES]
     if not ranked:
         return []
     # A candidate counts with all words near it; so rare forms of one insult support each other.
+    toxic, other = judges
+    n, m = len(toxic), len(other)
+    if not n or not m:
+        return ranked[:most]
     reader = Reader(Kernel(ranked))
     largest = np.zeros((n + m, len(ranked)), dtype=np.float32)
     texts = [*toxic, *other]
@@ -319,8 +343,8 @@ def choose_landmarks(toxic: list[bytes], other: list[bytes], most: int = LANDMAR
     for least in (LEAST_KERNEL, 0.5, 0.6, 0.7, 0.8, 0.9):
         within = largest >= least**POWER
         a, b = within[:n].sum(axis=0), within[n:].sum(axis=0)
-        # Chance alone gives a word a few toxic texts: the share has to stand out by four deviations.
-        sure = (a - (a + b) * share) / np.sqrt(np.maximum((a + b) * share * (1 - share), 1e-9)) > 4
+        # Chance alone gives a word a few toxic texts: the share has to stand out by three deviations.
+        sure = (a - (a + b) * share) / np.sqrt(np.maximum((a + b) * share * (1 - share), 1e-9)) > 3
         gain = np.where(sure, odds(a, b), 0)
         better = gain * a > value * near[:n].sum(axis=0)
         value[better] = gain[better]
@@ -339,17 +363,23 @@ def choose_landmarks(toxic: list[bytes], other: list[bytes], most: int = LANDMAR
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 2e-5, rounds: int = 30) -> np.ndarray:
     """A linear machine with squared hinge loss, by Newton's method; the last weight is the offset."""
-    x = np.hstack((x, np.ones((len(x), 1))))
+    x = np.hstack((x, np.ones((len(x), 1), np.float32)))
     weight = weight / weight.sum()
     w = np.zeros(x.shape[1])
     active = None
     for _ in range(rounds):
-        inside = y * (x @ w) < 1
+        inside = y * (x @ w.astype(np.float32)) < 1
         if active is not None and (inside == active).all():
             break
         active = inside
-        part = x[inside] * weight[inside, None]
-        w = np.linalg.solve(part.T @ x[inside] + ridge * np.eye(x.shape[1]), part.T @ y[inside])
+        square, target = ridge * np.eye(x.shape[1]), np.zeros(x.shape[1])
+        rows = np.flatnonzero(inside)
+        for at in range(0, len(rows), 10_000):
+            part = x[rows[at : at + 10_000]].astype(np.float64)
+            scaled = part * weight[rows[at : at + 10_000], None]
+            square += scaled.T @ part
+            target += scaled.T @ y[rows[at : at + 10_000]]
+        w = np.linalg.solve(square, target)
     return w
 
 
@@ -379,7 +409,7 @@ class Model:
         own = (kernel.features.T @ kernel.features).astype(np.float64) ** POWER
         value, vector = np.linalg.eigh(own)
         good = value > 1e-6 * value.max()
-        self.whiten = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
+        self.whiten = ((vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T).astype(np.float32)
         reader = Reader(kernel)
         texts = [*toxic, *other]
         owner, rows = [], []
@@ -387,11 +417,11 @@ class Model:
             text, features = reader.sentences(texts[at : at + 200])
             owner.append(text + at)
             rows.append(features)
-        owner, x = np.concatenate(owner), np.concatenate(rows) @ self.whiten
+        owner, rows = np.concatenate(owner), np.concatenate(rows)
+        best, x = rows.max(axis=1), rows @ self.whiten
         bag = owner < len(toxic)
-        best = np.concatenate(rows).max(axis=1)
         # Sentences of other texts are not toxic. Of a toxic text, the best one is, and all on its side.
-        zeros = np.zeros((1, x.shape[1]))
+        zeros = np.zeros((1, x.shape[1]), np.float32)
         score = best
         for number in range(3):
             top = np.zeros(len(x), bool)
@@ -439,14 +469,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", toxic_rows:
     """A model from at most ``toxic_rows`` + ``other_rows`` labelled documents that are not held out.
 
     Rows without an id or a label are left out; a document of several labels has the largest; of
-    several texts, all. The ids of the sample are bounded by the two parameters and are broadcast.
+    several texts, all. The ids of the sample are bounded by the two parameters and are broadcast; its
+    texts meet in one task, which fits the model.
     """
     usable = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max("toxic").alias("_toxic"))
     ids = usable.withColumn("_order", F.xxhash64(id_col))
     sample = ids.filter("_toxic = 1").orderBy("_order").limit(toxic_rows).unionByName(ids.filter("_toxic = 0").orderBy("_order").limit(other_rows))
     rows = docs.select(id_col, F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(sample.select(id_col, "_toxic", "_order")), id_col)
-    sampled = sorted((r["_order"], r["_text"], r["_toxic"]) for r in rows.select("_order", "_text", "_toxic").collect())
-    return Model([t.encode() for _, t, y in sampled if y == 1], [t.encode() for _, t, y in sampled if y == 0])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampled = sorted(
+            (order, text, toxic)
+            for batch in batches
+            for order, text, toxic in zip(batch.column(0).to_pylist(), words.encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)
+        )
+        model = Model([t for _, t, y in sampled if y == 1], [t for _, t, y in sampled if y == 0])
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], ["model"])
+
+    fitted = rows.select("_order", "_text", "_toxic").repartition(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else Model([], [])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
