@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import token
 
-MONEY = "decimal(20,2)"
+#: Amounts keep six decimals: more than any currency has.
+AMOUNT = "decimal(38,6)"
 
 
 def filtered_sums(
@@ -18,39 +19,48 @@ def filtered_sums(
     amount: Column,
     cases: Mapping[str, Column],
     where: Column | None = None,
-    type_name: str = MONEY,
+    type_name: str = AMOUNT,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """One sum per case and key; null where a key has no row of the case.
 
-    Amounts are summed exactly and returned as double.
+    Amounts are summed exactly and returned as double. ``unreadable`` names a column that counts the
+    amounts of a key that are set but are no number.
     """
     source = df if where is None else df.where(where)
     exact = amount.try_cast(type_name)
     sums = [F.sum(F.when(cond, exact)).cast("double").alias(name) for name, cond in cases.items()]
+    if unreadable is not None:
+        sums.append(F.count_if(amount.isNotNull() & exact.isNull()).alias(unreadable))
     return source.groupBy(*keys).agg(*sums)
 
 
 def lower_bound(range_text: Column) -> Column:
-    """Lower amount of a ``CUR_from_to`` range; 0 when it is absent or not a whole number."""
-    number = token(F.coalesce(range_text, F.lit("0_0_0")), 2, default="0").try_cast("int")
-    return F.coalesce(number, F.lit(0))
+    """Lower amount of a ``CUR_from_to`` range; 0 when the text or its amount is absent, null if unreadable."""
+    number = token(F.coalesce(range_text, F.lit("0_0_0")), 2, default="0")
+    return number.try_cast(AMOUNT)
 
 
 def class_sums(
     df: DataFrame,
     key: str,
-    items: Sequence[tuple[str, str]],
+    items: Sequence[tuple[str, str]] | Column,
     classes: Mapping[str, Sequence[str]],
     rest: str,
+    unreadable: str | None = None,
 ) -> DataFrame:
-    """Sum the lower bounds of repeated (type, range) column pairs by class and key.
+    """Sum the lower bounds of repeated (type, range) items by class and key.
 
-    Types that no class lists, null included, count towards ``rest``. Every item adds its
-    own amount. Equal rows count once.
+    ``items`` names column pairs, or is an array column of structs ``type, range`` of any length.
+    Types that no class lists, null included, count towards ``rest``. Every item adds its own amount;
+    ``unreadable`` names a column that counts amounts that are no number. Equal rows count once.
     """
     listed = [t for types in classes.values() for t in types]
-    item = F.array(
-        *[F.struct(F.col(t).alias("type"), lower_bound(F.col(r)).alias("low")) for t, r in items]
+    if not isinstance(items, Column):
+        items = F.array(*[F.struct(F.col(t).alias("type"), F.col(r).alias("range")) for t, r in items])
+    rows = df.select(key, items.alias("items")).distinct()
+    parsed = rows.select(
+        key, F.transform("items", lambda x: F.struct(x["type"].alias("type"), lower_bound(x["range"]).alias("low"))).alias("items")
     )
 
     def is_class(kind: Column, name: str) -> Column:
@@ -61,13 +71,14 @@ def class_sums(
     def class_sum(name: str) -> Column:
         return F.aggregate(
             F.col("items"),
-            F.lit(0).cast("long"),
-            lambda acc, x: acc + F.when(is_class(x["type"], name), x["low"]).otherwise(0),
+            F.lit(0).cast(AMOUNT),
+            lambda acc, x: (
+                acc + F.when(is_class(x["type"], name), F.coalesce(x["low"], F.lit(0))).otherwise(0)
+            ).cast(AMOUNT),
         )
 
-    rows = df.select(key, *[c for pair in items for c in pair]).distinct()
-    names = [*classes, rest]
-    per_row = rows.select(key, item.alias("items")).select(
-        key, *[class_sum(n).alias(n) for n in names]
-    )
-    return per_row.groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+    cells = {n: F.coalesce(class_sum(n), F.lit(0).cast(AMOUNT)) for n in [*classes, rest]}
+    if unreadable is not None:
+        cells[unreadable] = F.coalesce(F.size(F.filter("items", lambda x: x["low"].isNull())), F.lit(0)).cast("long")
+    per_row = parsed.select(key, *[c.alias(n) for n, c in cells.items()])
+    return per_row.groupBy(key).agg(*[F.sum(n).alias(n) for n in cells])

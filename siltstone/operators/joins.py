@@ -1,4 +1,8 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins. Adaptive execution splits skewed partitions of the shuffle; no side is read twice for it.
+
+For keys that a caller knows to be hot, a salt spreads them ahead of the shuffle. No join counts
+anything or runs a job while it is built.
+"""
 
 from __future__ import annotations
 
@@ -8,49 +12,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least 1/HOT_PARTS of the rows: at most HOT_PARTS keys.
-HOT_PARTS = 200
-# Rows of the other side that may be broadcast for the hot keys; checked by counting.
-MAX_HOT_ROWS = 100_000
-# Below this many rows a single reducer copes with any key, so no counting pass is made.
-MIN_ROWS = 5_000_000
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    parts: int = HOT_PARTS,
-    min_rows: int | None = None,
-    within: Sequence[str] | None = None,
-) -> list[tuple]:
-    """The key values (never null) that hold at least 1/``parts`` of all rows.
-
-    Counts combine inside map tasks; at most ``parts`` rows come back. ``within`` counts
-    distinct combinations of these columns instead of rows.
-    """
-    total = df.count()
-    if total < (MIN_ROWS if min_rows is None else min_rows) or total == 0:
-        return []
-    if within is not None:
-        df = df.select(*within).distinct()
-        total = df.count()
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).dropna(subset=list(keys))
-    hot = counts.where(F.col("__n") * parts >= F.lit(total))
-    return [tuple(row[k] for k in keys) for row in hot.collect()]
+#: Parts that the rows of a given hot key are spread over.
+SALTS = 16
+_SALT = "__salt"
 
 
 def _is_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[tuple]) -> Column:
-    """True for hot keys and for keys with a null, which never match anything."""
+    """True for the given keys; false for keys with a null, which never match anything."""
     types = [df.schema[k].dataType for k in keys]
-    if len(keys) == 1:
-        found = F.col(keys[0]).isin([F.lit(v[0]).cast(types[0]) for v in hot])
-    else:
-        rows = [F.struct(*[F.lit(v).cast(t) for v, t in zip(vs, types)]) for vs in hot]
-        found = F.struct(*[F.col(k) for k in keys]).isin(rows)
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    return any_null | found
+    rows = [F.struct(*[F.lit(v).cast(t) for v, t in zip(vs, types)]) for vs in hot]
+    return F.coalesce(F.struct(*[F.col(f"`{k}`") for k in keys]).isin(rows), F.lit(False))
 
 
 def skew_join(
@@ -58,60 +29,48 @@ def skew_join(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    min_rows: int | None = None,
-    hot: Sequence[tuple] | None = None,
+    hot: Sequence[tuple] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large table to rows keyed by ``on``.
 
-    Rows of hot keys meet their matches by broadcast and are never shuffled: at most
-    ``HOT_PARTS`` rows when ``dim`` is unique, and counted first in any case. All other
-    rows use an ordinary join. ``hot`` may pass keys found on a cheaper input, or ``[]`` when ``df``
-    has few rows per key and needs no counting pass.
+    Without ``hot`` this is an ordinary join, whose skewed partitions adaptive execution splits. The
+    rows of the keys in ``hot`` (tuples, one value per column) get a salt from their own values, and
+    the ``dim`` rows of these keys are repeated once for each salt. ``how`` must keep the rows of
+    ``df`` or only matches: inner, left, left_semi or left_anti.
     """
     on = list(on)
-    hot = hot_keys(df, on, min_rows=min_rows) if hot is None else hot
     if not hot:
         return df.join(dim, on, how)
-    dim_hot = dim.where(_is_hot(dim, on, hot)).dropna(subset=on)
-    if how in ("left_semi", "left_anti"):
-        dim_hot = dim_hot.select(*on).distinct()
-    if dim_hot.limit(MAX_HOT_ROWS + 1).count() > MAX_HOT_ROWS:
-        return df.join(dim, on, how)
-    in_hot = _is_hot(df, on, hot)
-    spread = df.where(in_hot).join(F.broadcast(dim_hot), on, how)
-    rest = df.where(~in_hot).join(dim, on, how)
-    return spread.unionByName(rest)
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"hot keys cannot be salted in a {how} join")
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    salted = df.withColumn(_SALT, F.when(_is_hot(df, on, hot), spread).otherwise(0))
+    last = F.when(_is_hot(dim, on, hot), F.lit(salts - 1)).otherwise(0)
+    repeated = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
 def one_to_many(
-    dim: DataFrame,
-    df: DataFrame,
-    on: Sequence[str],
-    min_rows: int | None = None,
-    hot: Sequence[tuple] | None = None,
+    dim: DataFrame, df: DataFrame, on: Sequence[str], hot: Sequence[tuple] = (), salts: int = SALTS
 ) -> DataFrame:
-    """``dim`` LEFT JOIN ``df`` where ``df`` may have hot keys.
+    """``dim`` LEFT JOIN ``df``, where ``df`` may have hot keys.
 
-    The part of the hot keys is an inner join that broadcasts the few ``dim`` rows of
-    those keys (counted first), plus those of them that found no match.
+    A given hot key's ``dim`` rows are repeated once for each salt and meet the matching share of the
+    key's rows; the repetition with salt 0 stands for those without a match.
     """
     on = list(on)
-    hot = hot_keys(df, on, min_rows=min_rows) if hot is None else hot
     if not hot:
         return dim.join(df, on, "left")
-    hot_dim = dim.where(_is_hot(dim, on, hot)).dropna(subset=on)
-    if hot_dim.limit(MAX_HOT_ROWS + 1).count() > MAX_HOT_ROWS:
-        return dim.join(df, on, "left")
-    hot_rows = df.where(_is_hot(df, on, hot)).dropna(subset=on)
-    spread = hot_rows.join(F.broadcast(hot_dim), on, "inner")
-    no_key = F.lit(False)
-    for k in on:
-        no_key = no_key | F.col(k).isNull()
-    rest = dim.where(no_key | ~_is_hot(dim, on, hot)).join(
-        df.where(~_is_hot(df, on, hot)), on, "left"
-    )
-    lonely = hot_dim.join(hot_rows.select(*on), on, "left_anti")
-    return rest.unionByName(spread).unionByName(lonely, allowMissingColumns=True)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    many = df.withColumn(_SALT, F.when(_is_hot(df, on, hot), spread).otherwise(0)).withColumn("__match", F.lit(1))
+    # One row per hot key says whether it has any match at all.
+    known = df.where(_is_hot(df, on, hot)).select(*on).distinct().withColumn("__some", F.lit(1))
+    last = F.when(_is_hot(dim, on, hot), F.lit(salts - 1)).otherwise(0)
+    repeated = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    joined = repeated.join(many, [*on, _SALT], "left").join(known, on, "left")
+    alone = F.col("__match").isNull() & (F.col("__some").isNotNull() | (F.col(_SALT) > 0))
+    return joined.where(~alone).drop(_SALT, "__match", "__some")
 
 
 def lookup(
@@ -119,27 +78,22 @@ def lookup(
     dim: DataFrame,
     key: Mapping[str, str] | str,
     how: str = "left",
-    min_rows: int | None = None,
-    hot: Sequence[tuple] | None = None,
+    hot: Sequence[tuple] = (),
 ) -> DataFrame:
     """Enrich ``df`` with the columns of ``dim``; ``key`` may map df column to dim column."""
     pairs = {key: key} if isinstance(key, str) else dict(key)
     aligned = dim.withColumnsRenamed({d: k for k, d in pairs.items() if d != k})
-    return skew_join(df, aligned, list(pairs), how, min_rows, hot)
+    return skew_join(df, aligned, list(pairs), how, hot)
 
 
-def semi(
-    df: DataFrame, other: DataFrame, on: Sequence[str], min_rows: int | None = None, hot=None
-) -> DataFrame:
+def semi(df: DataFrame, other: DataFrame, on: Sequence[str], hot: Sequence[tuple] = ()) -> DataFrame:
     """Rows whose key occurs in ``other``."""
-    return skew_join(df, other.select(*on), on, "left_semi", min_rows, hot)
+    return skew_join(df, other.select(*on), on, "left_semi", hot)
 
 
-def anti(
-    df: DataFrame, other: DataFrame, on: Sequence[str], min_rows: int | None = None, hot=None
-) -> DataFrame:
+def anti(df: DataFrame, other: DataFrame, on: Sequence[str], hot: Sequence[tuple] = ()) -> DataFrame:
     """Rows whose key does not occur in ``other``."""
-    return skew_join(df, other.select(*on), on, "left_anti", min_rows, hot)
+    return skew_join(df, other.select(*on), on, "left_anti", hot)
 
 
 def matched_flag(
@@ -149,12 +103,11 @@ def matched_flag(
     name: str,
     yes: str = "Y",
     no: str = " ",
-    min_rows: int | None = None,
-    hot: Sequence[tuple] | None = None,
+    hot: Sequence[tuple] = (),
 ) -> DataFrame:
     """``yes`` where the key exists in ``dim``, else ``no``; rows never fan out."""
     present = dim.select(*on).dropna().distinct().withColumn(name, F.lit(yes))
-    joined = skew_join(df, present, on, "left", min_rows, hot)
+    joined = skew_join(df, present, on, "left", hot)
     return joined.select(*df.columns, F.coalesce(F.col(name), F.lit(no)).alias(name))
 
 

@@ -30,9 +30,9 @@ def id_diff(
     return changed.select(key, label.alias("difference_type"))
 
 
-def new_items(df: DataFrame, seen: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+def new_items(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the manifest."""
-    return anti(df, seen, [key], min_rows)
+    return anti(df, seen, [key])
 
 
 def mark_seen(seen: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from siltstone.functions.dates import iso_timestamp
 from siltstone.functions.rules import blank_to
 from siltstone.operators.aggregates import filtered_sums
-from siltstone.operators.joins import hot_keys, one_to_many, skew_join
 from siltstone.operators.keys import latest_per_key, surrogate_id
 from siltstone.session import materialize
 
@@ -94,8 +93,7 @@ def account_360(
         .join(card_state, "user_id")
     )
     holder = ["account_holder_key"]
-    hot = hot_keys(accounts, holder, within=[*holder, "account_type", "id"])
-    owned = skew_join(held, owners, holder, "inner", hot=hot)
+    owned = held.join(owners, holder)
     sums = outbound_sums(txns, card_channels, transfer_channels, outbound).withColumnRenamed(
         "parent_account_key", "account_encoded_key"
     )
@@ -136,7 +134,4 @@ def risk_report(
     )
     known = numbered.join(people, "user_id", "left")
     holder = ["account_holder_key"]
-    hot = hot_keys(accounts, holder, within=[*holder, "id"])
-    return one_to_many(known, held, holder, hot=hot).drop(
-        "account_holder_key", "user_id"
-    )
+    return known.join(held, holder, "left").drop("account_holder_key", "user_id")

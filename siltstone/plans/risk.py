@@ -24,14 +24,23 @@ def _range(amount: Column) -> Column:
     return range_string(amount["code"], amount["from"], amount["to"])
 
 
+def _stamped(scores: DataFrame) -> DataFrame:
+    """Scores with an update time."""
+    return scores.where(F.col("updated_at").isNotNull() & (F.col("updated_at").cast("string") != ""))
+
+
 def score_table(scores: DataFrame, items: int = SCORE_ITEMS) -> DataFrame:
     """One wide row per score: type and two range strings for every item, and totals.
 
     ``scores``: ``customer_id, alt_customer_id, updated_at, items array<struct<type,
     converted struct<code,from,to>, local struct<...>>>, net_worth struct<converted,
-    local, code, from, to>``. The array stays an array until this last projection.
+    local, code, from, to>``. The array stays an array until this last projection. A score with more
+    than ``items`` items fails the job: a wide table of that width cannot hold it.
     """
     wide: list[Column] = []
+    message = F.concat(F.lit(f"a score has more than {items} items: "), F.size("items").cast("string"))
+    checked = F.when(F.size("items") > items, F.raise_error(message)).otherwise(F.col("items"))
+    scores = scores.withColumn("items", checked)
     for i in range(items):
         item = F.get("items", i)
         wide += [
@@ -40,10 +49,7 @@ def score_table(scores: DataFrame, items: int = SCORE_ITEMS) -> DataFrame:
             _range(item["local"]).alias(f"item_{i}_local"),
         ]
     worth = F.col("net_worth")
-    stamped = scores.where(
-        F.col("updated_at").isNotNull() & (F.col("updated_at").cast("string") != "")
-    )
-    return stamped.select(
+    return _stamped(scores).select(
         F.coalesce("customer_id", "alt_customer_id").alias("customer_id"),
         F.col("updated_at").alias("updated_timestamp"),
         F.col("updated_at").cast("date").cast("string").alias("date"),
@@ -57,13 +63,15 @@ def score_table(scores: DataFrame, items: int = SCORE_ITEMS) -> DataFrame:
 
 
 def wealth_and_income(
-    scores: DataFrame,
-    items: int = SCORE_ITEMS,
-    income_types: Sequence[str] = INCOME_TYPES,
+    scores: DataFrame, income_types: Sequence[str] = INCOME_TYPES, unreadable: str | None = None
 ) -> DataFrame:
-    """Summed lower bounds per customer: listed types are income, all others wealth."""
-    pairs = [(f"item_{i}_type", f"item_{i}_converted") for i in range(items)]
-    return class_sums(scores, "customer_id", pairs, {"income_salary": income_types}, "wealth")
+    """Summed lower bounds per customer: listed types are income, all others wealth.
+
+    ``scores`` is the input of :func:`score_table`; the sums come from its item arrays, of any length.
+    """
+    rows = _stamped(scores).withColumn("customer_id", F.coalesce("customer_id", "alt_customer_id"))
+    items = F.transform("items", lambda x: F.struct(x["type"].alias("type"), _range(x["converted"]).alias("range")))
+    return class_sums(rows, "customer_id", items, {"income_salary": income_types}, "wealth", unreadable)
 
 
 def form_projection(form: DataFrame, wanted: Sequence[str], day: str | None = None) -> DataFrame:

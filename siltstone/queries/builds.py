@@ -203,13 +203,17 @@ def _class_sql(listed: bool) -> str:
 
 
 @query(f"""
-select cast(l_orderkey as varchar) customer_id, cast({_class_sql(True)} as bigint) income_salary,
-  cast({_class_sql(False)} as bigint) wealth from ({_SCORE_BASE}) where l_orderkey % 10 <> 0
+with scored as (select distinct o_custkey, {", ".join(f"{_type_sql(n)} t{n}, {_range_sql(n)} r{n}, p{n}" for n in _ITEMS)},
+    cast({_class_sql(True)} as decimal(38,6)) income, cast({_class_sql(False)} as decimal(38,6)) wealth
+  from ({_SCORE_BASE}) join orders on o_orderkey = l_orderkey where l_orderkey % 10 <> 0)
+select cast(o_custkey as varchar) customer_id, cast(sum(income) as decimal(38,6)) income_salary,
+  cast(sum(wealth) as decimal(38,6)) wealth from scored group by o_custkey
 """)
 def q_wealth_income(t):
-    """Wealth and income per customer."""
-    scores = risk.score_table(_score_input(t), items=len(_ITEMS))
-    return risk.wealth_and_income(scores, items=len(_ITEMS))
+    """Wealth and income per customer over all scores of the customer's orders."""
+    orders = t.orders.select(F.col("o_orderkey").cast("string").alias("alt_customer_id"), "o_custkey")
+    scores = _score_input(t).join(orders, "alt_customer_id").withColumn("customer_id", F.col("o_custkey").cast("string"))
+    return risk.wealth_and_income(scores)
 
 
 @query("""

@@ -188,21 +188,22 @@ def q_union_distinct(t):
 
 @query("""
 select l_suppkey, l_returnflag,
-  cast(sum(case when l_linestatus = 'O' then cast(l_extendedprice as decimal(20,2)) end) as double) open_amount,
-  cast(sum(case when l_linestatus = 'F' and l_tax > 0.02 then cast(l_extendedprice as decimal(20,2)) end) as double) taxed_amount
+  sum(case when l_linestatus = 'O' then l_quantity * 0.125 end) open_amount,
+  sum(case when l_linestatus = 'F' and l_tax > 0.02 then l_quantity * 0.125 end) taxed_amount, cast(0 as bigint) unreadable
 from lineitem where l_quantity > 5 group by l_suppkey, l_returnflag
 """)
 def q_channel_sums(t):
-    """Two differently filtered sums in one pass."""
+    """Two differently filtered sums of amounts with three decimals in one pass."""
     return aggregates.filtered_sums(
         t.lineitem,
         ["l_suppkey", "l_returnflag"],
-        F.col("l_extendedprice"),
+        F.col("l_quantity") * 0.125,
         {
             "open_amount": F.col("l_linestatus") == "O",
             "taxed_amount": (F.col("l_linestatus") == "F") & (F.col("l_tax") > 0.02),
         },
         where=F.col("l_quantity") > 5,
+        unreadable="unreadable",
     )
 
 
@@ -298,7 +299,7 @@ select l_orderkey, l_linenumber, l_quantity, o_custkey from lineitem
 left join orders on l_orderkey = o_orderkey
 """)
 def q_skew_join(t):
-    """Line items with their customer; hot orders would be joined by broadcast."""
+    """Line items with their customer; two orders are treated as hot."""
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    return skew_join(lines, orders, ["l_orderkey"])
+    return skew_join(lines, orders, ["l_orderkey"], hot=[(1,), (7,)])

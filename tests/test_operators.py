@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from siltstone.operators import aggregates, joins, keys, nested, profile, sets
+from siltstone.plans import risk
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +22,17 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "k string, v int").repartition(6)
 
 
+HOT = [("hot",), ("k3",), ("nowhere",)]
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("parts", [["hot"], []])
-def test_skew_join_equals_brute_force(spark, skewed, rows, how, parts):
+@pytest.mark.parametrize("hot", [(), HOT])
+def test_skew_join_equals_brute_force(spark, skewed, rows, how, parts, hot):
     data, df = skewed
     dim = {f"k{i}": i for i in range(0, 40, 2)} | dict.fromkeys(parts, 99) | {"only": 5}
     right = spark.createDataFrame(list(dim.items()), "k string, w int")
-    got = joins.skew_join(df, right, ["k"], how, min_rows=0)
+    got = joins.skew_join(df, right, ["k"], how, hot)
     expected = {
         "left": [(k, v, dim.get(k)) for k, v in data],
         "inner": [(k, v, dim[k]) for k, v in data if k in dim],
@@ -37,22 +42,35 @@ def test_skew_join_equals_brute_force(spark, skewed, rows, how, parts):
     rows(got, expected)
 
 
-def test_hot_keys_are_found(spark, skewed):
+def test_joins_run_no_job_and_read_each_side_once(spark, skewed):
     _, df = skewed
-    assert joins.hot_keys(df, ["k"], parts=5, min_rows=0) == [("hot",)]
-    assert joins.hot_keys(df, ["k"], parts=5) == []
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, w int")
+    group = "joins-while-built"
+    spark.sparkContext.setJobGroup(group, group)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = df
+        for n in range(5):
+            joined = joins.skew_join(joined, right.withColumnRenamed("w", f"w{n}"), ["k"], "left", HOT)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        text = joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert text.count("ExistingRDD") == 6 and text.count("SortMergeJoin") == 5
 
 
-def test_hot_part_is_broadcast_and_not_shuffled(spark, skewed):
+def test_hot_keys_are_spread(spark, skewed):
     _, df = skewed
-    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, w int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    right = spark.createDataFrame([("hot", 1)], "k string, w int")
+    for setting, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(setting, value)
     try:
-        joined = joins.skew_join(df, right, ["k"], "left", min_rows=0)
-        text = joined._jdf.queryExecution().toString()
+        joined = joins.skew_join(df, right, ["k"], "inner", HOT).withColumn("p", F.spark_partition_id())
+        assert joined.select("p").distinct().count() > 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" in text
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_skew_join_on_two_columns(spark, rows):
@@ -61,30 +79,33 @@ def test_skew_join_on_two_columns(spark, rows):
     dim = spark.createDataFrame([(1, "a", 7), (4, "a", 8), (6, "b", 9)], "x int, y string, w int")
     table = {(1, "a"): 7, (4, "a"): 8}
     rows(
-        joins.skew_join(df, dim, ["x", "y"], "left", min_rows=0).select("x", "y", "v", "w"),
+        joins.skew_join(df, dim, ["x", "y"], "left", [(1, "a")]).select("x", "y", "v", "w"),
         [(x, y, v, table.get((x, y))) for x, y, v in data],
     )
+    with pytest.raises(ValueError):
+        joins.skew_join(df, dim, ["x", "y"], "full", [(1, "a")])
 
 
-def test_one_to_many_equals_brute_force(spark, skewed, rows):
+@pytest.mark.parametrize("hot", [(), HOT])
+def test_one_to_many_equals_brute_force(spark, skewed, rows, hot):
     data, df = skewed
-    people = [("hot",), ("k1",), ("k2",), ("lonely",), (None,)]
+    people = [("hot",), ("k1",), ("k2",), ("lonely",), (None,), ("nowhere",), ("k3",), ("k3",)]
     dim = spark.createDataFrame(people, "k string")
     expected = []
     for (k,) in people:
         match = [v for kk, v in data if kk == k and k is not None]
         expected += [(k, v) for v in match] or [(k, None)]
-    rows(joins.one_to_many(dim, df, ["k"], min_rows=0).select("k", "v"), expected)
+    rows(joins.one_to_many(dim, df, ["k"], hot).select("k", "v"), expected)
     # A key that is hot in a raw table may be gone from the reduced one.
     without = df.where("k <> 'hot'")
     expected = [(k, v) for k, v in expected if k != "hot"] + [("hot", None)]
-    rows(joins.one_to_many(dim, without, ["k"], hot=[("hot",)]).select("k", "v"), expected)
+    rows(joins.one_to_many(dim, without, ["k"], hot).select("k", "v"), expected)
 
 
 def test_matched_flag_does_not_fan_out(spark, skewed):
     _, df = skewed
     dim = spark.createDataFrame([("hot",), ("hot",), (None,), ("k1",)], "k string")
-    got = joins.matched_flag(df, dim, ["k"], "f", min_rows=0)
+    got = joins.matched_flag(df, dim, ["k"], "f", hot=HOT)
     assert got.count() == df.count()
     assert got.where("f = 'Y' and k not in ('hot', 'k1')").count() == 0
     assert got.where("k is null and f <> ' '").count() == 0
@@ -272,10 +293,35 @@ def test_class_sums_use_each_items_own_amount(spark, rows):
         ("c1", "SALARY", "GBP_10_20", None, "GBP_5_6", "X", None),
         ("c1", "SALARY", "GBP_10_20", None, "GBP_5_6", "X", None),
         ("c1", "OTHER", "GBP_x_1", "SALARY", "GBP_3_4", "SALARY", "GBP"),
+        ("c2", "SALARY", "GBP_3000000000_1", "SALARY", "GBP_100.5_200", None, None),
     ]
     df = spark.createDataFrame(data, "c string, t0 string, r0 string, t1 string, r1 string, t2 string, r2 string")
-    got = aggregates.class_sums(df, "c", [("t0", "r0"), ("t1", "r1"), ("t2", "r2")], {"income": ["SALARY"]}, "wealth")
-    rows(got.select("c", "income", "wealth"), [("c1", 13, 5)])
+    got = aggregates.class_sums(df, "c", [("t0", "r0"), ("t1", "r1"), ("t2", "r2")], {"income": ["SALARY"]}, "wealth", "bad")
+    rows(
+        got.selectExpr("c", "cast(income as double)", "cast(wealth as double)", "bad"),
+        [("c1", 13.0, 5.0, 1), ("c2", 3000000100.5, 0.0, 0)],
+    )
+
+
+def test_sums_keep_all_decimals_and_count_unreadable_amounts(spark, rows):
+    df = spark.createDataFrame([("k", "0.005"), ("k", "0.004"), ("k", "0.004"), ("k", "n/a"), ("k", None)], "k string, a string")
+    got = aggregates.filtered_sums(df, ["k"], F.col("a"), {"total": F.lit(True)}, unreadable="bad")
+    rows(got, [("k", 0.013, 1)])
+
+
+def test_wide_scores_are_not_cut(spark):
+    item = "struct<type:string,converted:struct<code:string,from:double,to:double>,local:struct<code:string,from:double,to:double>>"
+    worth = "struct<converted:struct<code:string,from:double,to:double>,local:struct<code:string,from:double,to:double>,code:string,from:double,to:double>"
+    one = ("SAVINGS_FROM_SALARY_OR_EARNINGS", ("GBP", 1.0, 2.0), ("GBP", 1.0, 2.0))
+    df = spark.createDataFrame(
+        [("c", None, "2024-01-01", [one] * 35, None)],
+        f"customer_id string, alt_customer_id string, updated_at string, items array<{item}>, net_worth {worth}",
+    )
+    with pytest.raises(PySparkException):
+        risk.score_table(df).collect()
+    assert risk.score_table(df, items=35).first()["item_34_type"] == one[0]
+    assert float(risk.wealth_and_income(df).first()["income_salary"]) == 35.0
+
 
 
 def merge(prev, now):

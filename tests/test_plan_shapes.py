@@ -43,3 +43,9 @@ def test_number_of_shuffles(spark, name, shuffles):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("name,scans", [("q_lookup", 3), ("q_first_seen", 2), ("q_semi", 2), ("q_account_360", 7)])
+def test_number_of_scans(spark, name, scans):
+    tree = plan(QUERIES[name](spark, FOLDER)).split("\n\n")[0]
+    assert tree.count("Scan parquet") <= scans, tree

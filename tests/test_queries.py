@@ -4,7 +4,6 @@ import os
 
 import pytest
 
-from siltstone.operators import joins
 from siltstone.queries import ORACLES, QUERIES
 from tests.oracle_check import connect, difference, oracle_rows, spark_rows
 
@@ -40,14 +39,22 @@ def test_query_equals_oracle(spark, oracle, name):
      "q_joined_since", "q_latest_with_ties", "q_student_flag", "q_changed_children", "q_account_360",
      "q_risk_report", "q_skew_join"],
 )
-def test_hot_key_path_gives_the_same_rows(spark, oracle, name, monkeypatch):
-    """Every key with half a percent of the rows counts as hot; nothing is broadcast by size."""
-    monkeypatch.setattr(joins, "MIN_ROWS", 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_joins_without_broadcast_give_the_same_rows(spark, oracle, name):
+    """The plan of large tables, with skewed partitions split down to a few bytes."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
     try:
         got = spark_rows(QUERIES[name](spark, FOLDER))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert difference(got, oracle_rows(oracle, ORACLES[name])) is None
 
 
