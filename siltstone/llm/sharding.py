@@ -102,7 +102,7 @@ def _bits(value: Column, depth: Column) -> Column:
 
 
 def _assign(keys: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Look every key up in the directory.
+    """Look every key up in the directory; keys below no leaf are left out.
 
     The directory has an entry for each prefix of the lowest leaf depth, with the leaves below it, or
     an entry for each leaf where some leaves are far deeper than others.
@@ -121,8 +121,8 @@ def _assign(keys: DataFrame, leaves: DataFrame) -> DataFrame:
     folded = entries.groupBy("entry").agg(F.collect_list(F.struct("depth", "prefix", "shard_bytes", "shard_docs")).alias("leaves"))
     if high - low <= 8:
         looked = keys.withColumn("entry", F.expr(f"shiftright(hash, {HASH_BITS - low})")).join(folded, "entry")
-        leaf = F.filter("leaves", lambda x: x["prefix"] == F.call_function("shiftright", F.col("hash"), F.lit(HASH_BITS) - x["depth"]))[0]
-        looked = looked.withColumn("leaf", leaf)
+        fits = F.filter("leaves", lambda x: x["prefix"] == F.call_function("shiftright", F.col("hash"), F.lit(HASH_BITS) - x["depth"]))
+        looked = looked.withColumn("leaf", F.get(fits, F.lit(0))).filter("leaf is not null")
     else:
         candidates = keys.withColumn("d", F.explode(F.array(*map(F.lit, depths)))).withColumn(
             "prefix", F.expr(f"shiftright(hash, {HASH_BITS} - d)")
