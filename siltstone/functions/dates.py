@@ -132,14 +132,16 @@ def day_window(ts: Column, first: dt.date, last: dt.date | None = None) -> Colum
 
 
 def date_span(start: str | None, end: str | None, today: dt.date) -> tuple[dt.date, dt.date]:
-    """Validated ``YYYYMMDD`` bounds; the day before ``today`` when either is missing."""
-    if not start or not end:
-        day = today - dt.timedelta(days=1)
-        return day, day
-    try:
-        first, last = (dt.datetime.strptime(x, "%Y%m%d").date() for x in (start, end))
-    except ValueError as exc:
-        raise ValueError("dates must be in YYYYMMDD format") from exc
-    if first > last:
-        raise ValueError("the first date must not be after the last")
-    return first, last
+    """First and last day of a span given as ``YYYYMMDD`` texts; yesterday alone if one is not given."""
+
+    def day_of(text: str) -> dt.date:
+        if len(text) != 8 or not text.isdecimal():
+            raise ValueError(f"{text!r} is not eight digits")
+        return dt.date(int(text[:4]), int(text[4:6]), int(text[6:]))
+
+    if not (start and end):
+        return (yesterday := today - dt.timedelta(days=1)), yesterday
+    span = day_of(start), day_of(end)
+    if span[1] < span[0]:
+        raise ValueError(f"{end} is before {start}")
+    return span

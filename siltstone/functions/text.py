@@ -88,7 +88,7 @@ def replace_literal(col: Column, old: str, new: str) -> Column:
 def decode_key(col: Column, plus_is_space: bool = True) -> Column:
     """URL-decode an object key; ``+`` stays as it is unless it stands for a space."""
     source = col if plus_is_space else F.replace(col, F.lit("+"), F.lit("%2B"))
-    return F.url_decode(source)
+    return F.try_url_decode(source)
 
 
 def base_name(path: Column) -> Column:

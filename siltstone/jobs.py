@@ -6,7 +6,7 @@ A lake is a root folder with one sub-folder per table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from siltstone.plans import ingest
 from siltstone.plans.funnel import REPORT_COLUMNS, funnel_report
 from siltstone.sources.readers import read_partition, read_snapshot
 from siltstone.sources.writers import MAX_ROWS_PER_FILE, write_report, write_table
-from siltstone.streaming.arrivals import batch_writer, file_stream, run_available
+from siltstone.streaming.arrivals import BROKEN, FILE, batch_writer, file_stream, run_available
 
 MANIFEST_SCHEMA = T.StructType([T.StructField("path", T.StringType())])
 REPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in REPORT_COLUMNS])
@@ -41,19 +41,31 @@ def run_card_load(
     schemas: Mapping[str, Mapping[str, str]],
     groups: Mapping[str, str] = ingest.CARD_GROUPS,
 ) -> dict[str, int]:
-    """New card files to one CSV table per group; the manifest grows only after the write."""
+    """New card files to one CSV table per group; the manifest grows only after the write.
+
+    Each file owns the partition of its key and replaces it, so a run that stopped before the manifest
+    was written can be repeated.
+    """
     manifest = f"{lake}/card_files_processed"
     seen = read_snapshot(spark, manifest, MANIFEST_SCHEMA)
     frames, done = ingest.load_card_files(spark, folder, seen, schemas, groups)
     finished = [row["path"] for row in done.collect()]  # file names, fixed for this run
     for group, rows in frames.items():
-        write_table(rows, f"{lake}/card_{group}", "csv", mode="append")
+        write_table(rows, f"{lake}/card_{group}", "csv", mode="overwrite_partitions", partition_by=[ingest.FILE_KEY])
     if finished:
         names = spark.createDataFrame([(p,) for p in finished], MANIFEST_SCHEMA)
         write_table(names, manifest, mode="append")
     return {"processed_count": len(finished), "groups": len(frames)}
 
 
+def _day_before(history: DataFrame, column: str, today: str) -> str | None:
+    """The newest day before today in a table; none in a table without other days."""
+    days = history.where(F.col(column) != today).agg(F.max(F.when(F.col(column) < today, F.col(column))), F.count("*")).first()
+    if days[0] is None and days[1]:
+        raise ValueError(f"all days of the table are later than {today}")
+    return days[0]
+
+
 def run_funnel(
     log: DataFrame,
     reworks: DataFrame,
@@ -63,13 +75,16 @@ def run_funnel(
     as_of: dt.datetime,
     **limits,
 ) -> str:
-    """Merge into yesterday's snapshot, replace today's, write the dated report file."""
+    """Merge into the newest earlier snapshot, replace today's, write the dated report file.
+
+    Missed days do not matter. Snapshots of later days alone mean a wrong date: the job refuses.
+    """
     spark = log.sparkSession
     snapshots = f"{lake}/funnel_snapshots"
     schema = T.StructType([*REPORT_SCHEMA.fields, T.StructField("date", T.StringType())])
-    before = (as_of - dt.timedelta(days=1)).strftime("%Y%m%d")
     today = as_of.strftime("%Y%m%d")
     history = read_snapshot(spark, snapshots, schema)
+    before = _day_before(history, "date", today)
     previous = history.where(F.col("date") == before).select(*REPORT_COLUMNS)
     report = funnel_report(log, reworks, forms, circumstances, previous, as_of, **limits)
     refresh_table(report.withColumn("date", F.lit(today)), snapshots)
@@ -80,9 +95,9 @@ def run_funnel(
 def run_changed_children(
     spark: SparkSession, parents: str, children: DataFrame, key: str, parent: str, today: dt.date
 ) -> DataFrame:
-    """Children of the parents that differ between two daily partitions of a table."""
+    """Children of the parents that differ between today's partition of a table and the newest before it."""
     day = today.strftime("%Y-%m-%d")
-    before = (today - dt.timedelta(days=1)).strftime("%Y-%m-%d")
+    before = _day_before(spark.read.parquet(parents), "date", day)
     return ingest.changed_children(
         read_partition(spark, parents, day).select(key),
         read_partition(spark, parents, before).select(key),
@@ -96,11 +111,12 @@ def run_event_stream(
     schema: T.StructType | str,
     lake: str,
     day: dt.date,
-    columns: Sequence[str] = ingest.EVENT_COLUMNS,
+    columns: Sequence[str],
     rules: Mapping[str, Column] | None = None,
 ) -> None:
-    """Arrived event files to the curated table, each file once."""
-    stream = ingest.curated_events(file_stream(spark, landing, schema), day, columns)
+    """Arrived event files to the curated table, each file once; broken records keep their text in the quarantine."""
+    arrived = file_stream(spark, landing, schema, keep_broken=True)
+    stream = ingest.curated_events(arrived, day, [*columns, BROKEN, FILE])
     sink = batch_writer(
         f"{lake}/events_curated", ["year", "month", "day"], rules, f"{lake}/events_quarantine"
     )
@@ -134,21 +150,18 @@ def run_positions(
     last: dt.date,
     extracted_at: dt.datetime,
 ) -> DataFrame:
-    """Save what arrived, return the outcome per unit; callers decide what partial means."""
+    """Save what arrived, return the outcome per unit; callers decide what partial means.
+
+    A unit is one portfolio and date: a repeated call replaces the units that it brings and no others.
+    """
     rows, summary = ingest.positions(responses, portfolios, first, last, extracted_at)
-    refresh_table(keep_declared(rows, list(schema)), f"{lake}/{table}")
+    unit = ["date", "portfolio_id"]
+    columns = [*schema, *[c for c in unit if c not in schema]]
+    refresh_table(keep_declared(rows, columns), f"{lake}/{table}", unit)
     return summary
 
 
-def run_when(rows: DataFrame, write: Callable[[DataFrame], None]) -> bool:
-    """Write only when there is a row; looks at one row, not at the count."""
-    if rows.isEmpty():
-        return False
-    write(rows)
-    return True
-
-
 __all__ = [
     "MAX_ROWS_PER_FILE", "refresh_table", "run_card_load", "run_changed_children",
-    "run_event_stream", "run_funnel", "run_positions", "run_report_load", "run_when",
+    "run_event_stream", "run_funnel", "run_positions", "run_report_load",
 ]

@@ -26,29 +26,20 @@ from siltstone.sources.writers import compact
 
 # ---------------------------------------------------------------- events
 
-# Columns of the curated event table and its extracted properties.
-EVENT_COLUMNS = (
-    "event_id", "event_time", "event_type",
-    "server_received_time", "server_upload_time", "session_id", "source_id", "user_id",
-    "device_id", "uuid", "platform", "device_type", "os_version", "country",
-    "device_carrier", "city", "device_family", "dma", "language", "os_name",
-    "start_version", "region", "user_properties", "event_properties",
-)
+# Properties that events carry in their bag.
 EVENT_PROPERTIES = ("brandId", "type", "marketingId")
 
 
-def event_columns(tool: str) -> tuple[str, ...]:
-    """The event columns with the two that carry the name of the exporting tool in front."""
-    return (f"{tool}_event_type", f"{tool}_id", *EVENT_COLUMNS)
-
-
 def curated_events(
     events: DataFrame,
     day: dt.date | Column | None,
-    columns: Sequence[str] = EVENT_COLUMNS,
+    columns: Sequence[str],
     properties: Sequence[str] = EVENT_PROPERTIES,
 ) -> DataFrame:
-    """Select, add year/month/day, coerce the market code, pull properties out of the bag."""
+    """Select, add year/month/day, coerce the market code, pull properties out of the bag.
+
+    ``columns`` lists all columns of the curated table; those that the export lacks are left out.
+    """
     rows = keep_declared(events, columns)
     if day is not None:
         rows = st.date_parts(rows, day if isinstance(day, Column) else F.lit(day))
@@ -63,6 +54,7 @@ def curated_events(
 
 # Marker in the file name of each card file group.
 CARD_GROUPS = {"_fees_": "fees", "_interchange_": "interchange", "_presentments_": "presentments"}
+FILE_KEY = "file_key"
 
 
 def backfill_plan(
@@ -130,8 +122,8 @@ def load_card_files(
     """New CSV files to one frame per group, and the paths they came from.
 
     Columns are matched by lower-case name, ordered by the group schema, tagged with the
-    source file; columns outside the schema are dropped. File names (not rows) pass the
-    driver, as in any read.
+    source file; columns outside the schema are dropped. ``file_key`` tells files of one name in
+    different folders apart. File names (not rows) pass the driver, as in any read.
     """
     found = new_items(list_files(spark, folder, "*.csv").select("path"), manifest, "path")
     grouped = found.withColumn("file_group", file_group(base_name(F.col("path")), groups))
@@ -143,11 +135,14 @@ def load_card_files(
             continue
         frames = [
             keep_declared(
-                lower_names(st.source_file(read_table(spark, same, "csv"))), list(schemas[group])
+                lower_names(st.source_file(read_table(spark, same, "csv"))).withColumn(
+                    FILE_KEY, F.sha1(F.col("_metadata.file_path"))
+                ),
+                [*schemas[group], FILE_KEY],
             )
             for same in header_groups(spark, paths)
         ]
-        out[group] = conform(union_evolve(*frames), schemas[group], fill_missing=False)
+        out[group] = conform(union_evolve(*frames), {**schemas[group], FILE_KEY: "string"}, fill_missing=False)
     return out, todo.select("path")
 
 

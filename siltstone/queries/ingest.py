@@ -1,14 +1,18 @@
 """Landing jobs re-aimed on the test tables."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
 from siltstone.plans import ingest
 from siltstone.queries.registry import query
 from siltstone.queries.scalars import FILE_NAMES, file_names
+from siltstone.session import work_path
+from siltstone.sources.readers import list_files
 
 DAY = dt.date(2024, 2, 10)
+FIRST, LAST = dt.date(1996, 1, 1), dt.date(1996, 12, 31)
 NOW = dt.datetime(2024, 2, 10, 12, 30)
 
 
@@ -25,7 +29,8 @@ def q_curated_events(t):
         F.col("event_id").cast("string").alias("event_id"), "event_type", "user_id", "props",
         F.col("value").alias("os_version"), dma.alias("dma"), bag.alias("event_properties"),
     )
-    return ingest.curated_events(rows, DAY)
+    columns = ["event_id", "event_type", "user_id", "os_version", "dma", "event_properties", "absent"]
+    return ingest.curated_events(rows, DAY, columns)
 
 
 _PLAN = f"""
@@ -170,3 +175,64 @@ def q_typed_records(t):
     )
     pages = t.part.select(F.array(record).alias("records"))
     return ingest.typed_records(pages, "records", DAY, NOW, "https://feed.example/v2/accounts")
+
+
+_FEES = {"orderkey": "bigint", "linenumber": "bigint", "fee": "double", "note": "string"}
+
+
+@query("""
+select l_orderkey orderkey, l_linenumber linenumber, l_extendedprice fee, 'line ' || l_linestatus || chr(10) || '"' || l_returnflag || '", end' note
+from lineitem
+""")
+def q_card_files(t):
+    """Delivered CSV files of two column orders, with quoted line breaks, loaded by name; a second run finds none."""
+    note = F.concat(F.lit("line "), "l_linestatus", F.lit('\n"'), "l_returnflag", F.lit('", end'))
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("LINENUMBER"), F.col("l_extendedprice").alias("Fee"),
+        note.alias("note"), F.lit("x").alias("junk"),
+    )
+    landed, folder = work_path(t.spark, "cards-parts"), work_path(t.spark, "cards")
+    options = {"header": "true", "escape": "\\", "quoteAll": "true"}
+    one, two = lines.where(F.col("LINENUMBER") % 2 == 0), lines.where(F.col("LINENUMBER") % 2 == 1)
+    one.write.options(**options).csv(landed)
+    two.select("note", "junk", "Fee", "OrderKey", "LINENUMBER").write.mode("append").options(**options).csv(landed)
+    _deliver(t, landed, folder, lambda n, _: f"x_Fees_{n}.csv")
+    frames, done = ingest.load_card_files(t.spark, folder, _no_paths(t), {"fees": _FEES})
+    rows = frames["fees"].select(*_FEES)
+    seen, _ = ingest.load_card_files(t.spark, folder, done, {"fees": _FEES})
+    assert not seen
+    return rows
+
+
+def _no_paths(t):
+    return t.spark.createDataFrame([], "path string")
+
+
+def _deliver(t, landed, folder, name):
+    """Give the part files of a written table the names that deliveries have: ``name(number, path)``."""
+    paths = t.spark._jvm.org.apache.hadoop.fs.Path
+    store = paths(landed).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    store.mkdirs(paths(folder))
+    parts = [r["path"] for r in list_files(t.spark, landed, "part-*").orderBy("path").collect()]
+    for number, part in enumerate(parts):
+        store.rename(paths(part), paths(f"{folder}/{name(number, part)}"))
+
+
+@query(f"""
+select o_orderkey id, o_orderpriority kind, cast(o_orderdate as date) booked, o_totalprice amount, strftime(o_orderdate, '%Y%m') || '01' as "date",
+  timestamp '2024-02-10 12:30:00' timestamp_extracted
+from orders where o_orderdate >= date '{FIRST}' and o_orderdate < date '{LAST + dt.timedelta(days=1)}'
+""")
+def q_report_files(t):
+    """JSON-array report files, one a month, of a day range, typed and dated by their file names."""
+    landed, folder = work_path(t.spark, "report-parts"), work_path(t.spark, "reports")
+    record = F.struct(
+        F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("KIND"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Booked"), F.col("o_totalprice").alias("Amount"),
+    )
+    month = F.date_format("o_orderdate", "yyyyMM")
+    reports = t.orders.groupBy(month.alias("month")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    reports.write.partitionBy("month").text(landed)
+    _deliver(t, landed, folder, lambda _, path: f"Balances_{re.search('month=([0-9]+)', path)[1]}010730.json")
+    paths = ingest.report_files(t.spark, folder, "Balances", FIRST, LAST)
+    return ingest.load_report(t.spark, paths, NOW)

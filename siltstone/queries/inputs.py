@@ -60,7 +60,7 @@ from orders
 CARDS = """
 select cast(user_id as string) as user_id, ts as updated_at,
   case event_type when 'error' then '' when 'view' then cast(null as string) else event_type end as state
-from events where event_id % 2 = 1
+from events
 """
 
 TRANSACTIONS = """
@@ -77,7 +77,7 @@ FORMS = """
 select cast(user_id as string) as customer_id, ts as updated_at,
   case when event_id % 4 <> 0 then event_type end as c0,
   case when event_id % 3 = 0 then 'SELF_EMPLOYED' when event_id % 3 = 1 then 'BUSINESS_OWNER_X' else ' ' end as c1
-from events where user_id % 10 < 7 and (user_id % 10 < 5 or event_id % 4 = 0)
+from events
 """
 
 FORMS_FEW = """

@@ -120,14 +120,15 @@ def q_range_string(t):
 
 
 @query("""
-select doc_id, regexp_matches(text, '[À-ÿ]') accented, false arabic from documents
+select doc_id, regexp_matches(text, '[À-ÿ]') accented, doc_id % 3 = 0 and contains(text, 'e') arabic from documents
 """)
 def q_has_script(t):
-    """Script detection over whole texts; the test texts hold no Arabic."""
+    """Script detection over whole texts; every third text gets Arabic letters for its e."""
+    mixed = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("e"), F.lit("\u0639"))).otherwise(F.col("text"))
     return t.documents.select(
         "doc_id",
         text.has_script(F.col("text"), [("À", "ÿ")]).alias("accented"),
-        text.has_script(F.col("text")).alias("arabic"),
+        text.has_script(mixed).alias("arabic"),
     )
 
 
@@ -341,16 +342,16 @@ _LOW, _HIGH = dt.date(1996, 3, 1), dt.date(1996, 12, 31)
 
 @query("""
 select o_custkey, first_day, last_day from (select o_custkey, min(o_orderdate) first_day,
-  max(case when o_orderstatus <> 'F' then o_orderdate end) last_day from orders where o_custkey % 2 = 0 or o_orderstatus = 'F' group by 1)
+  max(case when o_custkey % 2 = 0 and o_orderstatus <> 'F' then o_orderdate end) last_day from orders group by 1)
 where first_day is not null and last_day is not null
   and last_day >= date '1996-03-01' and first_day <= date '1996-12-31'
 """)
 def q_overlap(t):
     """Customers whose order span meets a window; open spans drop out when one is asked for."""
-    kept = t.orders.where((F.col("o_custkey") % 2 == 0) | (F.col("o_orderstatus") == "F"))
-    spans = kept.groupBy("o_custkey").agg(
+    closed = (F.col("o_custkey") % 2 == 0) & (F.col("o_orderstatus") != "F")
+    spans = t.orders.groupBy("o_custkey").agg(
         F.min("o_orderdate").alias("first_day"),
-        F.max(F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate"))).alias("last_day"),
+        F.max(F.when(closed, F.col("o_orderdate"))).alias("last_day"),
     )
     return spans.where(rules.overlaps(F.col("first_day"), F.col("last_day"), _LOW, _HIGH))
 

@@ -1,12 +1,20 @@
 """Projection to schemas, nested documents, profiles and inference."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from siltstone import schema as sc
+from siltstone.functions.dates import date_span
 from siltstone.operators import conform as c
 from siltstone.operators import nested as n
 from siltstone.operators import profile
+from siltstone.operators.joins import work_list
+from siltstone.operators.profile import infer_schema
 from siltstone.queries.registry import query
+from siltstone.session import work_path
+from siltstone.sources.readers import list_columns, read_table
+from siltstone.sources.writers import write_table
 
 # ---------------------------------------------------------------- projection
 
@@ -67,13 +75,13 @@ def q_snake_case(t):
     return c.lower_names(rows.toDF(*[x.upper() for x in rows.columns]))
 
 
-@query("select s_suppkey, s_acctbal from supplier where s_nationkey = 3")
+@query("select s_suppkey, s_acctbal from supplier")
 def q_dynamic_projection(t):
     """Wanted columns that the table has, read from catalog metadata."""
     t.supplier.createOrReplaceTempView("supplier_raw")
-    existing = [col.name for col in t.spark.catalog.listColumns("supplier_raw")]
+    existing = list_columns(t.spark, "supplier_raw")
     wanted = [w for w in ("s_suppkey", "s_phone", "s_acctbal", "s_comment") if w in existing]
-    return c.project_existing(t.spark.table("supplier_raw"), wanted, F.col("s_nationkey") == 3)
+    return c.project_existing(t.spark.table("supplier_raw"), wanted)
 
 
 @query("""
@@ -199,13 +207,13 @@ def q_items_to_columns(t):
 
 
 @query("""
-select 'lake' bucket, 'in/' || s_name || ' x.csv' as "key" from supplier where s_suppkey % 3 <> 0
+select 'lake' bucket, 'in/' || s_name || ' x.csv' as "key" from supplier where s_suppkey % 3 = 1
 """)
 def q_arrivals(t):
     """Object-created notifications to object rows; test and foreign events skipped."""
     key = F.concat(F.lit("in/"), F.replace("s_name", F.lit("#"), F.lit("%23")), F.lit("+x.csv"))
     event = F.struct(
-        F.when(F.col("s_suppkey") % 3 == 1, "aws:s3").otherwise("aws:s3").alias("eventSource"),
+        F.when(F.col("s_suppkey") % 3 == 1, "aws:s3").otherwise("aws:other").alias("eventSource"),
         F.struct(
             F.struct(F.lit("lake").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")
         ).alias("s3"),
@@ -341,11 +349,54 @@ def q_typed_by_inference(t):
 
 
 @query("""
-select c_custkey, c_name, n_name,
-  'This is the c custkey column.' key_comment from customer join nation on c_nationkey = n_nationkey
+with described(column_name, type, comment, catalog_comment) as (values
+  ('event_id', 'float', 'This is the event id column.', 'This is the event id column.'),
+  ('event_type', 'string', 'kind of event', 'kind of event'),
+  ('value', 'float', 'This is the value column.', 'This is the value column.'),
+  ('is_late', 'boolean', 'This is the is late column.', 'This is the is late column.'),
+  ('timestamp_extracted', 'timestamp', 'This is the timestamp extracted column.', 'This is the timestamp extracted column.'))
+select event_id, column_name, type, comment, catalog_comment from events, described
 """)
 def q_describe_schema(t):
-    """Default column comment from the generated catalog entry, attached as metadata."""
-    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
-    _, comments = sc.describe_schema(rows)
-    return sc.with_comments(rows, comments).withColumn("key_comment", F.lit(comments["c_custkey"]))
+    """Types and comments of a generated catalog entry, and the comments that a written table carries."""
+    rows = t.events.select(
+        "event_id", "event_type", "value", (F.col("value") > 5).alias("is_late"), F.col("ts").cast("string").alias("timestamp_extracted")
+    )
+    types, comments = sc.describe_schema(rows, {"event_type": "kind of event"})
+    path = work_path(t.spark, "described")
+    write_table(rows, path, comments=comments)
+    written = read_table(t.spark, path)
+    entry = [
+        F.struct(
+            F.lit(f.name).alias("column_name"), F.lit(types[f.name]).alias("type"), F.lit(comments[f.name]).alias("comment"),
+            F.lit(f.metadata.get("comment")).alias("catalog_comment"),
+        )
+        for f in written.schema
+    ]
+    return written.select("event_id", F.inline(F.array(*entry)))
+
+
+@query("""
+select s_suppkey, strftime(d, '%Y-%m-%d') as "date" from supplier,
+  (select unnest(generate_series(date '2024-02-27', date '2024-03-02', interval 1 day)) d)
+""")
+def q_date_span(t):
+    """Suppliers with every day of a span given as text."""
+    first, last = date_span("20240227", "20240302", dt.date(2024, 5, 5))
+    rows = work_list(t.supplier.select("s_suppkey"), first, last)
+    return rows.select("s_suppkey", F.col("date").cast("string").alias("date"))
+
+
+@query("""
+select o_orderkey, 'date' as day_text, 'string' as mixed_text, 'timestamp' as native_time, 'bigint' as native_number from orders
+""")
+def q_date_columns(t):
+    """Text columns whose values are all dates, by the dates rule; the others by their types."""
+    rows = t.orders.select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day_text"),
+        F.when(F.col("o_orderkey") % 1000 == 7, "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("mixed_text"),
+        F.col("o_orderdate").alias("native_time"), F.col("o_custkey").alias("native_number"),
+    )
+    found = infer_schema(rows, "dates")
+    return rows.select("o_orderkey", *[F.lit(found[c]).alias(c) for c in rows.columns[1:]])

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Partition values are text as written: month=05 stays "05".
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

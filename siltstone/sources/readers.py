@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# How each delivered format is read. gzip is recognised by the file extension. A JSON
-# array file cannot be split, so it is one task per file: deliver many files.
+# How each delivered format is read. gzip is recognised by the file extension. JSON array files and
+# CSV files, whose quoted values may hold line breaks, are one task per file: deliver many files.
+# Parquet footers are not merged: pass mergeSchema="true" for a table whose columns have changed.
 FORMATS: dict[str, tuple[str, dict[str, str]]] = {
-    "csv": ("csv", {"header": "true", "escape": "\\", "multiLine": "false"}),
-    "parquet": ("parquet", {"mergeSchema": "true"}),
+    "csv": ("csv", {"header": "true", "escape": "\\", "multiLine": "true"}),
+    "parquet": ("parquet", {}),
     "json": ("json", {}),
     "json.gz": ("json", {"pathGlobFilter": "*.json.gz"}),
     "json-array": ("json", {"multiLine": "true"}),

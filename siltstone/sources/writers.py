@@ -14,8 +14,6 @@ from siltstone.schema import with_comments
 # Rows per output file and size of compacted files.
 MAX_ROWS_PER_FILE = 400_000
 TARGET_MB = 127
-# A report up to this many rows is one file.
-REPORT_ROWS = 1_000_000
 
 WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
@@ -88,11 +86,12 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     return df.where(valid), df.where(~valid).withColumn("failed_rules", F.concat_ws(",", failed))
 
 
-def write_report(df: DataFrame, root: str, as_of: dt.date, prefix: str = "output") -> str:
-    """A dated CSV folder: one file for a report-size result, several for a larger one."""
+def write_report(
+    df: DataFrame, root: str, as_of: dt.date, prefix: str = "output", files: int | None = 1
+) -> str:
+    """A dated CSV folder of ``files`` files; ``None`` leaves the number to the tasks that hold the rows."""
     path = f"{root.rstrip('/')}/{prefix}_{as_of.strftime('%d%m%y')}_EOD"
-    small = df.limit(REPORT_ROWS + 1).count() <= REPORT_ROWS
-    out = df.repartition(1) if small else df
+    out = df if files is None else df.repartition(files)
     out.write.mode("overwrite").options(**WRITE_OPTIONS["csv"]).csv(path)
     return path
 

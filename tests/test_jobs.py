@@ -1,6 +1,8 @@
 import datetime as dt
+import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone import jobs
@@ -78,11 +80,20 @@ def test_event_stream_job(spark, tmp_path):
         {"event_type": "no user"},
     ])
     schema = "user_id string, event_type string, dma string, event_properties string"
+    (landing / "b.json").write_text("")
+    with gzip.open(landing / "c.json.gz", "wt") as f:
+        f.write('{"user_id": "3", \n')
+    columns = ["user_id", "event_type", "dma", "event_properties"]
     for _ in range(2):
-        jobs.run_event_stream(spark, str(landing), schema, lake, dt.date(2024, 5, 2), rules={"user": F.col("user_id").isNotNull()})
+        jobs.run_event_stream(
+            spark, str(landing), schema, lake, dt.date(2024, 5, 2), columns, rules={"user": F.col("user_id").isNotNull()}
+        )
     rows = spark.read.parquet(f"{lake}/events_curated").orderBy("user_id").select("user_id", "dma", "brandId", "type", "month")
-    assert [tuple(r) for r in rows.collect()] == [("1", 101.0, "b", "", 5), ("2", None, "", "", 5)]
-    assert spark.read.parquet(f"{lake}/events_quarantine").count() == 1
+    assert [tuple(r) for r in rows.collect()] == [("1", 101.0, "b", "", "05"), ("2", None, "", "", "05")]
+    bad = {r["failed_rules"]: r for r in spark.read.parquet(f"{lake}/events_quarantine").collect()}
+    assert set(bad) == {"user", "readable,user"}
+    broken = bad["readable,user"]
+    assert broken["_broken_record"].startswith('{"user_id": "3"') and broken["_record_file"].endswith("c.json.gz")
 
 
 def test_report_load_replaces_its_days(spark, tmp_path):
@@ -103,7 +114,54 @@ def test_changed_children_job(spark, tmp_path, rows):
     rows(got, [("a", 1), ("c", 3), ("c", 4)])
 
 
-def test_run_when(spark):
-    seen = []
-    assert jobs.run_when(spark.range(3), seen.append) and not jobs.run_when(spark.range(0), seen.append)
-    assert len(seen) == 1
+def test_card_load_stopped_before_the_manifest(spark, tmp_path, monkeypatch):
+    folder, lake = tmp_path / "in", str(tmp_path / "lake")
+    folder.mkdir()
+    (folder / "x_Fees_1.csv").write_text('Card,FEE\n"c\n1",1.5\nc2,2\n')
+    write = jobs.write_table
+
+    def stopped(df, path, *args, **kwargs):
+        if "processed" in path:
+            raise RuntimeError("stopped")
+        write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_table", stopped)
+    with pytest.raises(RuntimeError):
+        jobs.run_card_load(spark, str(folder), lake, SCHEMAS)
+    monkeypatch.setattr(jobs, "write_table", write)
+    (folder / "x_Fees_2.csv").write_text("Card,FEE\nc3,3\n")
+    assert jobs.run_card_load(spark, str(folder), lake, SCHEMAS)["processed_count"] == 2
+    table = readers.read_table(spark, f"{lake}/card_fees", "csv")
+    assert sorted(r["card"] for r in table.collect()) == ["c\n1", "c2", "c3"]
+
+
+def test_a_missed_day_keeps_the_funnel(spark, tmp_path):
+    lake, day = str(tmp_path), lambda n: dt.datetime(2024, 1, n, 9)
+    forms = spark.createDataFrame([], "customer_id string, updated_at timestamp_ntz, c0 string")
+    reworks = spark.createDataFrame([], "user_id string")
+    history = [entry("u1", day(1), "AWAITING_SUBMISSION")]
+    jobs.run_funnel(spark.createDataFrame(history, LOG), reworks, forms, ["c0"], lake, day(2))
+    history.append(entry("u1", day(3), "APPROVED"))
+    jobs.run_funnel(spark.createDataFrame(history, LOG), reworks, forms, ["c0"], lake, day(5))
+    rows = spark.read.parquet(f"{lake}/funnel_snapshots").where("date = '20240105'").collect()
+    assert [(r["user_id"], r["onboarded"]) for r in rows] == [("u1", "Y")]
+    with pytest.raises(ValueError, match="later"):
+        jobs.run_funnel(spark.createDataFrame(history, LOG), reworks, forms, ["c0"], lake, day(1))
+
+
+def test_positions_keep_other_portfolios_of_the_day(spark, tmp_path):
+    kind = "portfolio_id string, request_date date, records array<struct<date:string,dateAsString:string,qty:int>>"
+    lake, day, now = str(tmp_path), dt.date(2024, 1, 1), dt.datetime(2024, 1, 2)
+    for name, qty in (("p1", 1), ("p2", 2), ("p1", 3)):
+        responses = spark.createDataFrame([(name, day, [("01/01/2024", "20240101", qty)])], kind)
+        jobs.run_positions(responses, responses, {"qty": "int", "date": "string"}, lake, "held", day, day, now)
+    table = spark.read.parquet(f"{lake}/held")
+    assert sorted((r["portfolio_id"], r["qty"]) for r in table.collect()) == [("p1", 3), ("p2", 2)]
+
+
+def test_children_of_a_day_after_a_missed_day(spark, tmp_path, rows):
+    path = str(tmp_path / "accounts")
+    days = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01"), ("b", "2024-01-04"), ("c", "2024-01-04")], "id string, date string")
+    writers.write_table(days, path, partition_by=["date"])
+    children = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "parent string, n int")
+    rows(jobs.run_changed_children(spark, path, children, "id", "parent", dt.date(2024, 1, 4)), [("a", 1), ("c", 3)])
