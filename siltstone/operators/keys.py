@@ -9,15 +9,15 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.dates import ts_literal
 from siltstone.operators.joins import skew_join
 
 _RANK = "__rank"
 
-# Rows that one task numbers in surrogate_id, and the most buckets it will use.
+# Rows that one task numbers in surrogate_id, about.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 64
 
 
@@ -28,20 +28,37 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _ties(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]) -> list[Column]:
+    """The given ties, then all other columns: rows that still tie are equal."""
+    given = {*keys, order, *ties}
+    rest = [f.name for f in df.schema if f.name not in given and _orderable(f.dataType)]
+    return [F.col(f"`{t}`").asc_nulls_last() for t in (*ties, *rest)]
+
+
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Newest row per key; ``ties`` (ascending) makes the choice repeatable."""
-    order_by = [F.col(order).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties]]
-    return _ranked(df, keys, order_by)
+    """Newest row per key. ``ties`` (ascending) decide first, then all other columns.
+
+    The choice does not depend on how rows are partitioned, but every column of ``df`` is read: select
+    the needed ones before. Columns of maps cannot be compared and do not take part.
+    """
+    return _ranked(df, keys, [F.col(order).desc_nulls_last(), *_ties(df, keys, order, ties)])
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Oldest row per key, nulls last."""
-    order_by = [F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties]]
-    return _ranked(df, keys, order_by)
+    """Oldest row per key, nulls last; ties as in :func:`latest_per_key`."""
+    return _ranked(df, keys, [F.col(order).asc_nulls_last(), *_ties(df, keys, order, ties)])
 
 
 def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -67,9 +84,12 @@ def first_seen(
 def dedup_newest(df: DataFrame, ts: str, keys: Sequence[str] | None = None) -> DataFrame:
     """One row per distinct business row, carrying its newest ``ts``.
 
-    Copies collapse inside each map task; no sort and no wide shuffle of copies.
+    Copies collapse inside each map task; no sort and no wide shuffle of copies. ``keys``, where
+    given, must name all columns but ``ts``: for fewer, ``latest_per_key`` keeps the newest row whole.
     """
-    columns = list(keys) if keys else [c for c in df.columns if c != ts]
+    columns = [c for c in df.columns if c != ts]
+    if keys and set(keys) != set(columns):
+        raise ValueError(f"keys leave columns out: {sorted(set(columns) - set(keys))}")
     return df.groupBy(*columns).agg(F.max(ts).alias(ts))
 
 
@@ -93,11 +113,7 @@ def surrogate_id(
     """
     sort = [F.col(k).asc_nulls_last() for k in keys]
     total = df.count()
-    buckets = min(MAX_BUCKETS, max(1, total // rows_per_bucket))
-    if buckets == 1:
-        everything = Window.partitionBy(F.lit(0)).orderBy(*sort)
-        return df.withColumn(name, F.row_number().over(everything).cast("long"))
-
+    buckets = max(1, -(-total // rows_per_bucket))
     # Comparing (is null, value) pairs puts nulls last.
     pairs = [
         part
@@ -111,7 +127,7 @@ def surrogate_id(
     borders = [found[i * len(found) // buckets] for i in range(1, buckets)] if found else []
 
     bucketed = _bucketed(keyed, borders).drop("__key")
-    # At most MAX_BUCKETS counts, turned into the number of rows before each bucket.
+    # One count for each bucket, turned into the number of rows before it.
     sizes = {r["__bucket"]: r["count"] for r in bucketed.groupBy("__bucket").count().collect()}
     before = [0, *accumulate(sizes.get(i, 0) for i in range(len(borders)))]
     shift = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__bucket"))

@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from siltstone.operators.conform import drop_prefixed
 
-# Widest array that flatten() turns into columns without being told a width.
-MAX_COLUMNS_PER_ARRAY = 1000
-
 
 def _array_sizes(dtype: T.DataType, path: str) -> list[tuple[str, Callable[[Column], Column]]]:
     """For every array below ``dtype``: its path and its largest size within one row."""
@@ -56,9 +53,8 @@ def flatten(
     """Structs and arrays to flat columns ``a_b_0_c``.
 
     ``ignore`` names top-level columns to leave out. Array widths are declared through
-    ``max_items`` (one number, or one per array path) or measured; data wider than a
-    declared width fails the job instead of losing items. Arrays too wide for columns
-    belong into ``explode_items``.
+    ``max_items`` (one number, or one per array path) or measured, however wide; data wider than a
+    declared width fails the job instead of losing items. ``explode_items`` gives the long form.
     """
     kept = [f for f in df.schema if f.name not in set(ignore)]
     declared = max_items is not None
@@ -68,9 +64,6 @@ def flatten(
         widths = {p: max_items for f in kept for p, _ in _array_sizes(f.dataType, f.name)}
     else:
         widths = array_widths(df, [f.name for f in kept])
-        too_wide = {p: w for p, w in widths.items() if w > MAX_COLUMNS_PER_ARRAY}
-        if too_wide:
-            raise ValueError(f"arrays too wide for columns, use explode_items: {too_wide}")
     out: list[Column] = []
     names: set[str] = set()
 

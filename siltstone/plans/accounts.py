@@ -62,13 +62,18 @@ def account_360(
         ),
         ["user_id"], "updated_at", ["status", "card_ordered"],
     ).select("user_id", "card_ordered")
-    people = latest_per_key(clients, ["encoded_key", "id"], "last_modified_date", ["state"]).select(
+    people = latest_per_key(
+        clients.select("encoded_key", "id", "last_modified_date", "state"), ["encoded_key", "id"], "last_modified_date", ["state"]
+    ).select(
         F.col("id").alias("client_id"),
         F.col("encoded_key").alias("account_holder_key"),
         F.col("state").alias("client_state"),
     )
     held = latest_per_key(
-        accounts.withColumn("last_modified", iso_timestamp(F.col("last_modified_date"))),
+        accounts.withColumn("last_modified", iso_timestamp(F.col("last_modified_date"))).select(
+            "account_holder_key", "account_type", "id", "last_modified", "encoded_key", "name", "balances_total_balance",
+            "currency_code", "account_state", "approved_date", "activation_date",
+        ),
         ["account_holder_key", "account_type", "id"], "last_modified", ["encoded_key"],
     ).select(
         F.col("name").alias("account"),
@@ -83,7 +88,7 @@ def account_360(
         iso_timestamp(F.col("approved_date")).alias("account_approved"),
         iso_timestamp(F.col("activation_date")).alias("account_activated"),
     )
-    card_state = latest_per_key(cards, ["user_id"], "updated_at", ["state"]).select(
+    card_state = latest_per_key(cards.select("user_id", "updated_at", "state"), ["user_id"], "updated_at", ["state"]).select(
         F.col("user_id").cast("string").alias("user_id"),
         blank_to(F.col("state")).alias("card_state"),
     )
@@ -109,20 +114,25 @@ def risk_report(
 ) -> DataFrame:
     """Approved customers under a generated id, with their accounts and balances."""
     keyed = log.withColumn("user_id", F.coalesce("key_id", "alt_key_id", "image_id"))
-    customers = latest_per_key(keyed, ["user_id"], "updated_at", ["status"]).select(
-        "user_id", "status", "nationality", "address_country"
-    )
+    customers = latest_per_key(
+        keyed.select("user_id", "updated_at", "status", "nationality", "address_country"), ["user_id"], "updated_at", ["status"]
+    ).drop("updated_at")
     extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    # Numbering reads its keys several times; the log is read for them only once.
-    users = materialize(keyed.select("user_id").distinct(), "users")
-    ids = surrogate_id(users, ["user_id"], "customer_id_generated", **extra)
-    ids = ids.withColumnRenamed("user_id", "id_key")
-    approved = customers.where(F.col("status") == status)
-    numbered = approved.join(ids, F.col("user_id").eqNullSafe(F.col("id_key"))).drop("id_key", "status")
-    people = latest_per_key(clients, ["id", "encoded_key"], "last_modified_date", ["state"]).select(
+    # All users are numbered, one row each; numbering reads its input several times, the log once.
+    users = materialize(customers, "users")
+    numbered = surrogate_id(users, ["user_id"], "customer_id_generated", **extra).where(F.col("status") == status).drop("status")
+    people = latest_per_key(
+        clients.select("id", "encoded_key", "last_modified_date", "state"), ["id", "encoded_key"], "last_modified_date", ["state"]
+    ).select(
         F.col("id").alias("user_id"), F.col("encoded_key").alias("account_holder_key")
     )
-    held = latest_per_key(accounts, ["id"], "last_modified_date", ["encoded_key"]).select(
+    held = latest_per_key(
+        accounts.select(
+            "id", "last_modified_date", "encoded_key", "account_holder_key", "currency_code", "balances_total_balance",
+            "accrued_interest", "name", "approved_date", "maturity_date", "interest_rate",
+        ),
+        ["id"], "last_modified_date", ["encoded_key"],
+    ).select(
         "account_holder_key",
         "currency_code",
         F.col("balances_total_balance").try_cast("decimal(20,2)").alias("total_balance"),

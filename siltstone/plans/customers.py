@@ -37,9 +37,13 @@ def timeline(log: DataFrame, as_of: dt.date) -> DataFrame:
     changes = log.withColumn("user_id", F.coalesce("key_id", "alt_key_id")).where(
         F.col("updated_at").isNotNull()
     )
-    newest = latest_per_key(changes, ["user_id"], "updated_at", ["status"])
-    firsts = changes.groupBy("user_id").agg(F.min("updated_at").alias("first_join_date"))
     present = set(log.columns)
+    wanted = ("date_of_birth", "gender", *CARRIED, *POPULATED, *MARKETING)
+    newest = latest_per_key(
+        changes.select("user_id", "updated_at", "status", *dict.fromkeys(c for c in wanted if c in present)),
+        ["user_id"], "updated_at", ["status"],
+    )
+    firsts = changes.groupBy("user_id").agg(F.min("updated_at").alias("first_join_date"))
     with_age = newest.withColumn("age", age_years(safe_date(F.col("date_of_birth")), as_of))
     rows = with_age.select(
         "user_id",

@@ -123,7 +123,11 @@ def applicants(
         F.min("updated_at").alias("join_ts"),
         F.min(F.when(F.col("address_status") == WAITING_STATUS, F.col("updated_at"))).alias("wait_ts"),
     )
-    newest = latest_per_key(changes, ["user_id"], "updated_at", ["status"])
+    carried = (
+        "first_name", "last_name", "email", "phone", "date_of_birth", "gender", "status", "idv_status", "address_status",
+        "brand_id", "pep_passed", "nickname",
+    )
+    newest = latest_per_key(changes.select("user_id", "updated_at", *carried), ["user_id"], "updated_at", ["status"])
     rows = newest.join(firsts.where(F.col("join_ts") >= ts_literal(since)), "user_id")
     waits = (F.col("address_status") == WAITING_STATUS) & (
         whole_weeks(F.col("wait_ts"), as_of) >= WAITING_WEEKS

@@ -347,3 +347,19 @@ def test_run_summary(spark, rows):
     summary = profile.run_summary(df, ["u"], F.col("n").isNotNull(), F.col("n"))
     rows(summary, [("p1", 1, 1, 3, "partial"), ("p2", 1, 0, 2, "completed")])
     rows(profile.overall_status(summary), [(2, 1, 5, "partial")])
+
+
+def test_ties_do_not_depend_on_the_partitioning(spark):
+    data = [("u", dt.datetime(2024, 1, 1), "S", f"brand{i % 50}", {"m": str(i)}) for i in range(1000)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, status string, brand string, bag map<string,string>")
+    for pick, ties in itertools.product((keys.latest_per_key, keys.first_per_key), ([], ["status"])):
+        found = {pick(df.repartition(n).drop("bag"), ["k"], "ts", ties).first()["brand"] for n in (1, 3, 5, 7)}
+        assert found == {"brand0"}
+    assert keys.latest_per_key(df, ["k"], "ts").count() == 1
+
+
+def test_dedup_newest_refuses_to_drop_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, ts int")
+    assert keys.dedup_newest(df, "ts", ["b", "a"]).columns == ["b", "a", "ts"] or keys.dedup_newest(df, "ts").count() == 1
+    with pytest.raises(ValueError, match="leave columns out"):
+        keys.dedup_newest(df, "ts", ["a"])
