@@ -28,6 +28,12 @@ def salted(df: DataFrame, salts: int = SALTS) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+def sheltered(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all but the needed columns renamed by position, so that no name of theirs clashes; and its names."""
+    names = [c if c in needed else f"__column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def sent_whole(name: str) -> None:
     """Send a module's code along with its tasks, so that executors need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[name])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import words
-from siltstone.llm.common import sent_whole, table
+from siltstone.llm.common import sent_whole, sheltered, table
 
 sent_whole(words.__name__)
 sent_whole(__name__)
@@ -284,8 +284,9 @@ def n_hit() -> Column:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with the columns of ``docs``."""
-    marked = find_leaks(docs, benchmark)
-    return marked.filter(~contaminated(F.col("_n_words"), n_hit())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = sheltered(docs, "text")
+    marked = find_leaks(rows, benchmark)
+    return marked.filter(~contaminated(F.col("_n_words"), n_hit())).select(*names).toDF(*docs.columns)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

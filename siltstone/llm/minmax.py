@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import words
-from siltstone.llm.common import sent_whole, table
+from siltstone.llm.common import sent_whole, sheltered, table
 from siltstone.llm.words import BASE, mixed
 from siltstone.session import materialize
 
@@ -306,10 +306,11 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, with the columns of ``docs``; a repeated row stays once."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    rows, names = sheltered(docs, "doc_id", "text")
+    gone = near_duplicates(rows).filter("not kept").select("doc_id").distinct()
+    left = rows.join(gone, "doc_id", "left_anti")
     single = left.withColumn("_tie", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "_tie"])
-    return single.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.select(*names).toDF(*docs.columns)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import salt_of, salted, table
+from siltstone.llm.common import salt_of, salted, sheltered, table
 from siltstone.session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -98,7 +98,11 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
 
 
 def measured(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFrame:
-    """``docs`` with the struct ``_m`` of counts and ratios; no other name is touched."""
+    """``docs`` with the structs ``_m`` of counts and ``_r`` of ratios; no other name is touched.
+
+    The explode of one struct keeps filters on the counts above it: pushed below, each of them would
+    count the words of every text again.
+    """
     out = docs.withColumn("_words", words_of(F.col(text)))
     counts = measures(F.col(text), F.col("_words"))
     if repeats:
@@ -213,7 +217,8 @@ def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
-    return judged(docs).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = sheltered(docs, "text", "lang", "source")
+    return judged(rows).filter("_kept").select(*names).toDF(*docs.columns)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import common, words
-from siltstone.llm.common import once, sent_whole, table
+from siltstone.llm.common import once, sent_whole, sheltered, table
 
 sent_whole(common.__name__)
 sent_whole(words.__name__)
@@ -510,8 +510,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with the columns of ``docs``."""
-    rated = score(docs, fit(docs, labels))
-    return rated.filter("_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = sheltered(docs, "doc_id", "text")
+    return score(rows, fit(rows, labels)).filter("_score < 0.5").select(*names).toDF(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
