@@ -107,7 +107,7 @@ def measured(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataF
     counts = measures(F.col(text), F.col("_words"))
     if repeats:
         counts["n_repeat_words"] = repeated_words(F.col("_words"))
-    out = out.withColumn("_m", F.struct(*[c.alias(n) for n, c in counts.items()])).drop("_words")
+    out = out.withColumn("_m", F.explode(F.array(F.struct(*[c.alias(n) for n, c in counts.items()])))).drop("_words")
     ratios = {n: _ratio(F.col("_m"), n) for n in FEATURES}
     return out.withColumn("_r", F.struct(*[c.alias(n) for n, c in ratios.items()]))
 
