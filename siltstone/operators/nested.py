@@ -152,14 +152,17 @@ _OUTSIDE = (
 LITERAL_WORDS = (("None", "null"), ("True", "true"), ("False", "false"))
 
 
+def _rewritten(word: str, pattern: str, by: str) -> Callable[[Column], Column]:
+    return lambda x: F.when(x.contains(word), F.regexp_replace(x, pattern, by)).otherwise(x)
+
+
 def literal_to_json(col: Column) -> Column:
     """Rewrite None/True/False outside quoted text; single quotes are left to the parser."""
-    out = col
+    out = F.array(col)  # an array of one gives each step's text a name, so that it is worked out once
     for word, json_word in LITERAL_WORDS:
         pattern = _OUTSIDE.replace("{first}", word[0]).replace("{rest}", word[1:])
-        out = F.regexp_replace(out, pattern, "$1" + json_word)
-    # One look tells most documents, which have none of the words, from the others.
-    return F.when(col.rlike("|".join(w for w, _ in LITERAL_WORDS)), out).otherwise(col)
+        out = F.transform(out, _rewritten(word, pattern, "$1" + json_word))
+    return F.get(out, F.lit(0))
 
 
 def parse_document(col: Column, ddl: str) -> Column:

@@ -1,18 +1,17 @@
 """Column profiles, schema inference, run summaries and size estimates.
 
-A profile is one aggregate pass over all columns; inference reads the one-row result.
+A profile is one aggregate pass over all columns; inference reads the one-row result, and a second
+pass over the columns that may hold times.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltstone.functions.dates import parse_date, parse_ts
-from siltstone.schema import to_struct
 
 # Text that stands for a missing value.
 NULL_TOKENS = ("None", "")
@@ -22,10 +21,10 @@ _DIGITS = r"^[+-]?[0-9]+$"
 _INT = r"^[+-]?(0+|[1-9][0-9]*)$"
 _FLOAT = r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+|[0-9]+)([eE][+-]?[0-9]+)?$"
 
-MEASURES = (
-    "n", "n_set", "n_digits", "n_int", "n_long", "n_float", "n_bool", "n_time", "n_midnight",
-    "n_compact", "min_int", "max_int",
-)
+#: Measures of plain text tests, and those that try time layouts on every value.
+QUICK = ("n", "n_set", "n_digits", "n_int", "n_long", "n_float", "n_bool", "n_marked", "min_int", "max_int")
+TIMES = ("n_time", "n_midnight", "n_compact")
+MEASURES = (*QUICK, *TIMES)
 
 
 def _maybe_time(text: Column) -> Column:
@@ -55,6 +54,7 @@ def _measures(text: Column, whole: Column, stamp: Column) -> dict[str, Column]:
         "n_long": F.count(number),
         "n_float": F.count_if(whole | text.rlike(_FLOAT)),
         "n_bool": F.count_if(F.lower(text).isin("true", "false")),
+        "n_marked": F.count_if(_maybe_time(text)),
         "n_time": F.count(stamp),
         "n_midnight": F.count_if(stamp == F.date_trunc("day", stamp)),
         "n_compact": F.count(compact),
@@ -63,8 +63,11 @@ def _measures(text: Column, whole: Column, stamp: Column) -> dict[str, Column]:
     }
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row per column: how many values are set, and of what kind they could be."""
+def profile(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """One row per column: how many values are set, and of what kind they could be.
+
+    Only the named measures are taken; those of ``TIMES`` cost most.
+    """
     names = df.columns
     facts = df.select(
         *[
@@ -72,7 +75,7 @@ def profile(df: DataFrame) -> DataFrame:
             for i, name in enumerate(names)
             for fact, expr in _facts(F.col(f"`{name}`")).items()
         ]
-    )
+    )  # unused facts are pruned
     wide = facts.agg(
         *[
             expr.cast("long").alias(f"{i}_{measure}")
@@ -80,13 +83,14 @@ def profile(df: DataFrame) -> DataFrame:
             for measure, expr in _measures(
                 *[F.col(f"`{i}_{fact}`") for fact in ("text", "whole", "stamp")]
             ).items()
+            if measure in measures
         ]
     )
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
-                *[F.col(f"`{i}_{m}`").alias(m) for m in MEASURES],
+                *[F.col(f"`{i}_{m}`").alias(m) for m in MEASURES if m in measures],
             )
             for i, name in enumerate(names)
         ]
@@ -149,8 +153,15 @@ def infer_schema(df: DataFrame, rules: str = "content") -> dict[str, str]:
     judged = [c for c in df.columns if rules != "dates" or types[c] == "string"]
     found: dict[str, str] = {}
     if judged:
-        rows = profile(df.select(*[F.col(f"`{c}`") for c in judged])).collect()
-        found = {r["column_name"]: judge(r, r["column_name"]) for r in rows}
+        # One value without any mark of a time rules times out, one that is no number numbers: only
+        # columns with neither counterexample are read again, by the parser, and then whole.
+        quick = profile(df.select(*[F.col(f"`{c}`") for c in judged]), QUICK).collect()
+        told = {r["column_name"]: r.asDict() | dict.fromkeys(TIMES, 0 if r["n_set"] == 0 else -1) for r in quick}
+        open_ones = [c for c, p in told.items() if p["n_set"] and p["n_marked"] == p["n_set"]]
+        if open_ones:
+            for r in profile(df.select(*[F.col(f"`{c}`") for c in open_ones]), TIMES).collect():
+                told[r["column_name"]] |= {m: r[m] for m in TIMES}
+        found = {c: judge(p, c) for c, p in told.items()}
     return {c: found.get(c) or NATIVE_TYPES.get(types[c], "string") for c in df.columns}
 
 
@@ -184,8 +195,3 @@ def size_estimate(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     for part in parts[1:]:
         total = total + part
     return df.agg(F.sum(total.cast("long")).alias("n_bytes"), F.count("*").alias("n_rows"))
-
-
-def typed(df: DataFrame, schema: Mapping[str, str]) -> T.StructType:
-    """The Spark schema a declared type map gives for the columns of a table."""
-    return to_struct({c: schema[c] for c in df.columns if c in schema})

@@ -310,7 +310,7 @@ def _profile_sql() -> str:
 @query(_profile_sql())
 def q_profile(t):
     """One-pass column profile of text columns."""
-    return profile.profile(_texts(t)).select("column_name", "n", "n_set", "n_int", "n_float", "n_bool")
+    return profile.profile(_texts(t), ("n", "n_set", "n_int", "n_float", "n_bool"))
 
 
 @query(f"""
