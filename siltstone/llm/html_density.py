@@ -59,6 +59,9 @@ DROPPED_WORDS = frozenset(
 )
 HEADERS = frozenset(("header",))
 LANDMARKS = frozenset(("article", "main"))
+#: Beside the path, what is not mostly links counts so many times inside a landmark that the path runs through; headings there stay.
+LANDMARK_WEIGHT = 50
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 
 class Node:
@@ -200,25 +203,22 @@ def chosen(root: Node) -> list[Node]:
     """The subtrees that hold the main text, in page order."""
     order = weigh(root)
     best = max(order, key=lambda n: n.total) if any(n.total for n in order) else root
+    if best is root:
+        return [root]
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    if marked := [n for n in path if n.landmark]:
-        return [marked[-1]]
-    inner, stack = [], [best]
-    while stack:
-        node = stack.pop()
-        if node.landmark:
-            inner.append(node)
-        else:
-            stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped]
-    if inner:
-        return inner
     least = min(n.density for n in path)
-    keep = {id(best)}
-    for node in path[1:]:
-        keep |= {id(c) for c in node.children if isinstance(c, Node) and not c.dropped and c not in path and c.density >= least and c.chars}
-    return [n for n in order if id(n) in keep] if best is not root else [root]
+    marked = max((at for at, n in enumerate(path) if n.landmark), default=0)
+    on_path, keep = {id(n) for n in path}, {id(best)}
+    for at, node in enumerate(path[1:], 1):
+        for child in node.children:
+            if isinstance(child, Node) and not child.dropped and child.chars and id(child) not in on_path:
+                inside = at <= marked and 2 * child.link_chars <= child.chars
+                weight = LANDMARK_WEIGHT if inside else 1
+                if (inside and child.tag in HEADINGS) or child.density * weight >= least:
+                    keep.add(id(child))
+    return [n for n in order if id(n) in keep]
 
 
 def text_of(nodes: list[Node]) -> str:

@@ -56,6 +56,27 @@ def test_densest_subtree_without_marks():
     assert root.link_tags == 32 and root.chars > 0
 
 
+FIVE = [f"Paragraph {i}. {LONG}" for i in range(5)]
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in FIVE)
+LINKS = "".join(f"<li><a href={i}>A link text of some length {i}</a></li>" for i in range(30))
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        # A landmark inside the densest node does not take its place, wherever it stands.
+        (f"<div class=content>{PARAGRAPHS}<article class=teaser><p>Short</p></article></div>", [*FIVE, "Short"]),
+        (f"<div class=content><article class=teaser><p>Short</p></article>{PARAGRAPHS}</div>", ["Short", *FIVE]),
+        # A landmark around the densest node does not bring its link lists in, and keeps titles and text.
+        (f"<article><div><ul>{LINKS}</ul></div><h1>Oslo</h1><div>{PARAGRAPHS}</div><p>{LONG}</p></article>", ["Oslo", *FIVE, LONG]),
+        # No landmark at all: thresholds decide.
+        (f"<body><div><ul>{LINKS}</ul></div><div><div>{PARAGRAPHS}</div><div><p>{LONG * 9}</p></div></div><div><ul>{LINKS}</ul></div></body>", [*FIVE, LONG * 9]),
+    ],
+)
+def test_landmarks_only_weigh(html, want):
+    assert main_text(html).split("\n") == want
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + LONG) == LONG
     assert main_text("<p" * 3000 + LONG) != ""
