@@ -57,6 +57,8 @@ DROPPED_WORDS = frozenset(
     " share sharing social related recommended recommendations widget widgets"
     " comment comments commentlist disqus replies respond".split()
 )
+#: Tag of text and inline elements that stand directly beside blocks.
+RUN = "#run"
 HEADERS = frozenset(("header",))
 LANDMARKS = frozenset(("article", "main"))
 #: Beside the path, what is not mostly links counts so many times inside a landmark that the path runs through; headings there stay.
@@ -65,13 +67,15 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "landmark", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "dropped", "landmark", "chars", "tags", "link_chars", "link_tags", "density", "total", "structure")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False, landmark: bool = False) -> None:
         self.tag, self.parent, self.dropped, self.landmark = tag, parent, dropped, landmark
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        #: A block, holds one, or is a run of text and inline elements beside blocks.
+        self.structure = tag in BLOCKS or tag == RUN
 
 
 def _inside(node: Node | None) -> bool:
@@ -166,36 +170,79 @@ def _close(node: Node, tag: str) -> Node:
     return node
 
 
-def weigh(root: Node) -> list[Node]:
-    """Fill in counts and densities; the nodes in page order, dropped subtrees left out."""
+def _runs(order: list[Node]) -> None:
+    """Make every run of text and inline elements that stands beside blocks a node of its own; what is dropped ends no run."""
+    for node in reversed(order):
+        if node.parent is not None and node.structure:
+            node.parent.structure = True
+    for node in order:
+        parts: list[Node | str] = []
+        run: list[Node | str] = []
+        blocks = [isinstance(c, Node) and not c.dropped and c.structure for c in node.children]
+        if True not in blocks or False not in blocks:
+            continue
+        for child, block in zip([*node.children, None], [*blocks, True], strict=True):
+            if not block:
+                run.append(child)
+                continue
+            if any(isinstance(c, Node) or not c.isspace() for c in run):
+                held = Node(RUN, node)
+                held.children = run
+                for c in run:
+                    if isinstance(c, Node):
+                        c.parent = held
+                run = [held]
+            parts += run
+            run = []
+            if child is not None:
+                parts.append(child)
+        node.children = parts
+
+
+def _page_order(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped]
+    return order
+
+
+def weigh(root: Node) -> list[Node]:
+    """Fill in counts and densities; the nodes in page order, dropped subtrees left out.
+
+    A run is a leaf, and so is a block without blocks, as it holds one run: inline elements are no tags of theirs.
+    """
+    _runs(_page_order(root))
+    order = _page_order(root)
     for node in reversed(order):
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len("".join(child.split()))
             elif not child.dropped:
                 node.chars += child.chars
-                node.tags += child.tags + 1
+                node.tags += child.tags + (child.tag != RUN)
                 node.link_chars += child.link_chars
                 node.link_tags += child.link_tags
         if node.tag == "a":
             node.link_chars = node.chars
             node.link_tags += 1
+    holders = {n.parent for n in order if n.structure and n.parent is not None}
+    leaves = {n for n in order if (n.structure or n is root) and n not in holders}
     page_links = root.link_chars / max(1, root.chars)
     for node in order:
         if node.chars:
             plain = max(1, node.chars - node.link_chars)
             base = math.log(node.chars / plain * node.link_chars + page_links * node.chars + math.e)
-            tags = max(1, node.tags)
+            tags = 1 if node in leaves else max(1, node.tags)
             ratio = node.chars / max(1, node.link_chars) * tags / max(1, min(node.link_tags, tags))
             # The base is at least e: without links it would be 1, which is no base.
             node.density = node.chars / tags * math.log(max(1.0, ratio)) / math.log(max(base, math.e))
     for node in order:
-        node.total = sum(c.density for c in node.children if isinstance(c, Node) and not c.dropped)
+        if node in leaves:
+            node.total = node.density
+        elif node.structure or node is root:
+            node.total = sum(c.density for c in node.children if isinstance(c, Node) and not c.dropped)
     return order
 
 

@@ -77,6 +77,28 @@ def test_landmarks_only_weigh(html, want):
     assert main_text(html).split("\n") == want
 
 
+LINES = [f"Line {i}. {LONG}" for i in range(110)]
+BR = "<br>".join(LINES)
+SMALL = "<div><p>A small paragraph 1.</p><p>A small paragraph 2.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body>{BR}{SMALL}</body>", [" ".join(LINES), "A small paragraph 1.", "A small paragraph 2."]),
+        (f"<body><div>{BR}{SMALL}</div></body>", [" ".join(LINES), "A small paragraph 1.", "A small paragraph 2."]),
+        (f"<body><div>{BR}</div>{SMALL}</body>", [" ".join(LINES), "A small paragraph 1.", "A small paragraph 2."]),
+        # Bare text with inline elements and links in it, and bare text between blocks.
+        (f"<body>{BR.replace('Line', '<b>Line</b>').replace('of some', '<a href=x>of</a> some')}{SMALL}</body>", [" ".join(LINES), "A small paragraph 1.", "A small paragraph 2."]),
+        (f"<div>{LINES[0]}<h2>Two</h2>{LINES[1]} <i>{LINES[2]}</i><hr><span>{LINES[3]}</span></div>", [LINES[0], "Two", f"{LINES[1]} {LINES[2]}", LINES[3]]),
+        # Beside the path.
+        (f"<body>{LONG * 9}<div>{PARAGRAPHS}{PARAGRAPHS}{PARAGRAPHS}{PARAGRAPHS * 4}</div>Menu <a href=x>A link</a></body>", [LONG * 9, *FIVE * 7]),
+    ],
+)
+def test_bare_text_counts(html, want):
+    assert main_text(html).split("\n") == want
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + LONG) == LONG
     assert main_text("<p" * 3000 + LONG) != ""
