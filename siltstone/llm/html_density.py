@@ -49,6 +49,8 @@ DROPPED = frozenset(
     "head nav footer aside form button select input svg canvas audio video object embed dialog menu search map".split()
 ) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+#: Never text at all, so that they do not count in the text of a page.
+CONTROLS = RAW | frozenset("head select button svg canvas audio video object embed map".split())
 #: Words of class and id that mark menus, adverts, notices and comments.
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner"
@@ -59,6 +61,9 @@ DROPPED_WORDS = frozenset(
 )
 #: Tag of text and inline elements that stand directly beside blocks.
 RUN = "#run"
+#: As a whole class or id they name an advert, beside a page's landmark whatever its size.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored".split())
+ADVERT = "#advert"
 HEADERS = frozenset(("header",))
 LANDMARKS = frozenset(("article", "main"))
 #: Beside the path, what is not mostly links counts so many times inside a landmark that the path runs through; headings there stay.
@@ -67,10 +72,14 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "landmark", "chars", "tags", "link_chars", "link_tags", "density", "total", "structure")
+    __slots__ = ("tag", "parent", "children", "dropped", "landmark", "chars", "tags", "link_chars", "link_tags", "density", "total", "structure", "words", "main")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, landmark: bool = False) -> None:
+    def __init__(
+        self, tag: str, parent: Node | None, dropped: bool = False, landmark: bool = False, words: frozenset[str] = frozenset(), main: bool = False
+    ) -> None:
         self.tag, self.parent, self.dropped, self.landmark = tag, parent, dropped, landmark
+        #: Words of class and id that speak against it; whether it is, or holds, the one main part that a page names.
+        self.words, self.main = words, main
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -86,25 +95,91 @@ def _inside(node: Node | None) -> bool:
     return False
 
 
-def _kind(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
-    """Whether an element is left out, and whether it is marked as the page's main part."""
+def _kind(tag: str, attributes: str, parent: Node) -> tuple[bool, bool, frozenset[str], bool]:
+    """Whether an element is left out, whether it is a landmark, the words against it, and whether it is marked as the page's main part."""
     if tag in DROPPED:
-        return True, False
+        return True, False, frozenset(), False
     landmark = tag in LANDMARKS
-    header = tag in HEADERS
+    main = tag == "main"
+    words: frozenset[str] = frozenset()
+    header = False
     if attributes and not attributes.isspace():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
         role = found.get("role", "").lower()
-        words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
+        said = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
         if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
-            return True, False
-        if role in DROPPED_ROLES or words & DROPPED_WORDS:
-            return tag not in ("html", "body", "main"), False
-        landmark = landmark or role in ("main", "article") or found.get("itemprop", "") == "articleBody"
-        header = header or "header" in words
-    if header and not landmark and not _inside(parent):
-        return True, False
-    return False, landmark
+            return True, False, frozenset(), False
+        if role in DROPPED_ROLES and tag not in ("html", "body", "main"):
+            return True, False, frozenset(), False
+        main = main or role == "main" or found.get("itemprop", "") == "articleBody"
+        landmark = landmark or main or role == "article"
+        words = DROPPED_WORDS & said
+        if words and not ADVERTS.isdisjoint(f"{found.get('class', '')} {found.get('id', '')}".lower().split()):
+            words |= {ADVERT}
+        header = "header" in said
+    if not landmark and (tag in HEADERS or header) and not _inside(parent):
+        if tag in HEADERS:
+            return True, False, frozenset(), False
+        words |= {"header"}
+    return False, landmark, words, main
+
+
+def _plain(root: Node) -> int:
+    """Characters outside links, of all text but that of what is never text; the text of navigation, footers and the like counts."""
+    total, stack = 0, [root]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, str):
+                total += len("".join(child.split()))
+            elif child.tag != "a" and child.tag not in CONTROLS:
+                stack.append(child)
+    return total
+
+
+def _drop_marked(root: Node) -> None:
+    """Leave out the elements that a word of class or id speaks against.
+
+    Landmarks and what holds the page's main part stay, and so do elements whose word covers the larger
+    part of the text outside links: there the word tells nothing. Only an advert by its whole class or id
+    goes at any size, on a page that has a landmark not within it. Words never take all text of a page.
+    """
+    marked, order, stack = [], [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        if node.words and not node.landmark:
+            marked.append(node)
+        stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped]
+    if not marked:
+        return
+    holders: set[int] = set()
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.main |= node.main
+            if node.landmark or id(node) in holders:
+                holders.add(id(node.parent))
+    marked = [n for n in marked if not n.main]
+    all_text = _plain(root)
+    covered: dict[str, int] = {}
+    seen: dict[int, frozenset[str]] = {}
+    at_mark = {id(n) for n in marked}
+    for node in order:
+        above = seen[id(node.parent)] if node.parent is not None else frozenset()
+        if id(node) in at_mark and (new := node.words - above):
+            size = _plain(node)
+            for word in new:
+                covered[word] = covered.get(word, 0) + size
+            above |= new
+        seen[id(node)] = above
+    marked = [
+        n for n in marked
+        if any(2 * covered[w] <= all_text for w in n.words) or (ADVERT in n.words and id(root) in holders and id(n) not in holders)
+    ]
+    for node in marked:
+        node.dropped = True
+    if not any(not c.isspace() for n in _page_order(root) for c in n.children if isinstance(c, str)):
+        for node in marked:
+            node.dropped = False
 
 
 def parse(html: str) -> Node:
@@ -145,6 +220,7 @@ def parse(html: str) -> Node:
         node.children.append(child)
         if tag not in VOID and not (attributes.endswith("/") and tag not in BLOCKS):
             node = child
+    _drop_marked(root)
     return root
 
 

@@ -99,6 +99,27 @@ def test_bare_text_counts(html, want):
     assert main_text(html).split("\n") == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<article class='post has-sidebar'>{PARAGRAPHS}</article>", FIVE),
+        (f"<div id=content class='with-sidebar'>{PARAGRAPHS}</div><div class=sidebar>{LONG}</div>", FIVE),
+        (f"<div class='page has-header'>{PARAGRAPHS}</div><div class=widget><a href=x>{LONG * 20}</a></div>", FIVE),
+        (f"<main class=footer-below>{PARAGRAPHS}</main><div class=related>{LONG}</div>", FIVE),
+        (f"<div class='row no-banner'><main>{PARAGRAPHS}</main></div><div class=rest><p>{LONG * 9}</p></div>", [*FIVE, LONG * 9]),
+        # A word on each of many parts that are the page only together.
+        ("".join(f"<div class='elementor-widget-text'><p>{x}</p></div>" for x in FIVE) + f"<div class=ad>{LONG}</div>", FIVE),
+        (f"<div class=comments><p>{LONG}</p></div><div class=related><p>{LONG}</p></div>", [LONG, LONG]),
+        # The word still counts on what is the lesser part.
+        (f"<div>{PARAGRAPHS}<div class='related widget'><article><p>{LONG}</p></article></div></div>", FIVE),
+        (f"<div class=ad>{LONG * 9}</div><article>{PARAGRAPHS}</article>", FIVE),
+        (f"<div>{PARAGRAPHS}<select>{'<option>Some choice' * 99}</select></div>", FIVE),
+    ],
+)
+def test_a_word_of_class_or_id_takes_no_main_text(html, want):
+    assert main_text(html).split("\n") == want
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + LONG) == LONG
     assert main_text("<p" * 3000 + LONG) != ""
