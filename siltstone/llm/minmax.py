@@ -245,16 +245,8 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row.
-
-    The component's id is its smallest id. Texts without words have no shingles and no links. A null
-    id has no place in the order: such a row is linked with nothing, keeps itself, and has no
-    component id. Rows that repeat an id with another text are documents of their own that share it.
-    Extra columns are ignored; an empty table gives no rows.
-    """
+def in_components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, text_key, n_shingles, first) of every row; ``first`` is its component's smallest (id, text_key), null without a component."""
     signed = materialize(signatures(docs, id_col, text_col), "minmax-signatures")
     classes = materialize(
         signed.filter("n_shingles > 0 and id is not null").groupBy("digest")
@@ -292,24 +284,42 @@ def near_duplicates(
     if not more.isEmpty():
         roots = components(links.union(more))
 
-    rooted = classes.join(roots, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
+    rooted = classes.join(roots, "node", "left").select("digest", "id", "text_key", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "minmax-roots")
-    smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_class = rooted.join(smallest, "root").select("digest", "component_id")
-    told = signed.select("id", "n_shingles", "digest").join(of_class, "digest", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
-    return told.select(
+    smallest = rooted.groupBy("root").agg(F.min(F.struct("id", "text_key")).alias("first"))
+    of_class = rooted.join(smallest, "root").select("digest", "first")
+    told = signed.select("id", "text_key", "n_shingles", "digest").join(of_class, "digest", "left")
+    return told.select("id", "text_key", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("first")).alias("first"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row.
+
+    The component's id is its smallest id. Texts without words have no shingles and no links. A null
+    id has no place in the order: such a row is linked with nothing, keeps itself, and has no
+    component id. Rows that repeat an id with another text are documents of their own that share it.
+    Extra columns are ignored; an empty table gives no rows.
+    """
+    component = F.coalesce("first.id", "id")
+    return in_components(docs, id_col, text_col, percent).select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with the columns of ``docs``; a repeated row stays once."""
+    """One document of each component, with the columns of ``docs``; a repeated row stays once.
+
+    A document is an id with a text: other texts of its id stay or go by their own components.
+    """
     rows, names = sheltered(docs, "doc_id", "text")
-    gone = near_duplicates(rows).filter("not kept").select("doc_id").distinct()
-    left = rows.join(gone, "doc_id", "left_anti")
-    single = left.withColumn("_tie", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "_tie"])
+    told = in_components(rows, "doc_id", "text", PERCENT)
+    other = (F.col("id") != F.col("first.id")) | (F.col("text_key") != F.col("first.text_key"))
+    gone = told.filter(other).select(F.col("id").alias("doc_id"), F.col("text_key").alias("_text_key")).distinct()
+    keyed = rows.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("_no_text", F.col("text").isNull())
+    single = keyed.join(gone, ["doc_id", "_text_key"], "left_anti").dropDuplicates(["doc_id", "_text_key", "_no_text"])
     return single.select(*names).toDF(*docs.columns)
 
 

@@ -83,6 +83,19 @@ def test_keep_one_leaves_one_row_of_each_group(spark):
     assert near_duplicates(df.limit(0)).count() == 0 and keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_different_texts_of_one_id(spark):
+    near = " ".join(f"n{i}" for i in range(60))
+    own = [" ".join(f"t{k}_{i}" for i in range(60)) for k in range(6)]
+    rows = [(0, near, 0, None), (5, near + " more", 0, None)] + [(5, t, 0, None) for t in own] + [(5, own[0], 0, None)]
+    rows += [(5, own[1] + " end", 0, None), (5, None, 0, None), (5, "", 0, None), (None, own[2], 0, None), (9, own[3], 0, None)]
+    got = [(r["doc_id"], r["text"]) for r in keep_one(spark.createDataFrame(rows, KIND)).collect()]
+    # The near copy of document 0 and the copy in document 9 go; of the two near texts of id 5 one stays.
+    pair = [x for x in got if x in ((5, own[1]), (5, own[1] + " end"))]
+    assert len(pair) == 1
+    want = [(0, near), (5, None), (5, ""), (None, own[2])] + [(5, t) for k, t in enumerate(own) if k != 1]
+    assert sorted(got, key=repr) == sorted(want + pair, key=repr)
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
