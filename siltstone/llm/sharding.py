@@ -78,9 +78,12 @@ def shard(
     written key table. A single row over the limit stands alone in its shard. Extra columns are ignored; an empty table gives no rows.
     """
     named = df.select(F.col(key).alias("key"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("n_bytes"))
-    keys = materialize(
-        named.withColumn("hash", hash_bits(F.col("key"))).withColumn("row", F.monotonically_increasing_id()), "shard-keys"
-    )
+    return _places(named.withColumn("row", F.monotonically_increasing_id()), limit, round_bits).drop("row").withColumnRenamed("key", key)
+
+
+def _places(named: DataFrame, limit: int, round_bits: int = ROUND_BITS) -> DataFrame:
+    """The shard of each (key, n_bytes, row), and its row."""
+    keys = materialize(named.withColumn("hash", hash_bits(F.col("key"))), "shard-keys")
     leaves, wide = directory(keys, limit, round_bits)
     placed = _assign(keys, leaves)
     if not wide.isEmpty():
@@ -93,7 +96,7 @@ def shard(
         more, equal = directory(rest, limit, round_bits)
         over = _assign(rest, more.unionByName(equal))
         placed = placed.unionByName(over.withColumn("shard", F.concat(F.lit("overflow-"), "shard")))
-    return placed.withColumnRenamed("key", key)
+    return placed
 
 
 def _bits(value: Column, depth: Column) -> Column:
@@ -110,7 +113,7 @@ def _assign(keys: DataFrame, leaves: DataFrame) -> DataFrame:
     depths = sorted(r["depth"] for r in leaves.select("depth").distinct().collect())
     if not depths:
         return keys.limit(0).select(
-            "key", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"),
+            "row", "key", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"),
             F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).cast("long").alias("shard_docs"),
         )
     low, high = depths[0], depths[-1]
@@ -132,7 +135,7 @@ def _assign(keys: DataFrame, leaves: DataFrame) -> DataFrame:
             ["d", "prefix"],
         )
     return looked.select(
-        "key", "n_bytes", _bits(F.col("leaf.prefix"), F.col("leaf.depth")).alias("shard"),
+        "row", "key", "n_bytes", _bits(F.col("leaf.prefix"), F.col("leaf.depth")).alias("shard"),
         F.col("leaf.depth").alias("depth"), F.col("leaf.shard_bytes").alias("shard_bytes"),
         F.col("leaf.shard_docs").alias("shard_docs"),
     )
@@ -141,10 +144,15 @@ def _assign(keys: DataFrame, leaves: DataFrame) -> DataFrame:
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> None:
     """Write ``df`` as one folder per shard below ``path``; the rows of a shard come from one task.
 
-    Keys that occur once only: a repeated key would meet every shard of its copies.
+    Rows are numbered in a table written first and placed by number, so null and repeated keys lose and
+    multiply nothing.
     """
-    places = shard(df, key, text, limit).select(key, "shard")
-    df.join(places, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    numbered = materialize(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("r")).withColumn("row", F.monotonically_increasing_id()), "shard-rows")
+    named = numbered.select(
+        F.col("r").getField(key).alias("key"), F.octet_length(F.coalesce(F.col("r").getField(text), F.lit(""))).cast("long").alias("n_bytes"), "row"
+    )
+    places = _places(named, limit).select("row", "shard")
+    numbered.join(places, "row").select("r.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

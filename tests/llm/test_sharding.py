@@ -47,3 +47,14 @@ def test_empty_table_and_files(spark, tmp_path):
     df = spark.createDataFrame([(i, "x" * 20, None) for i in range(60)], KIND).drop("shard")
     write_shards(df, str(tmp_path / "out"), limit=200)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+
+
+def test_null_and_repeated_keys_are_written_once(spark, tmp_path):
+    rows = [(7, f"text {i:03}") for i in range(100)] + [(None, "a"), (None, "b"), (8, None), (8, None), (9, "z" * 500)]
+    write_shards(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "out"), limit=100)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted(rows, key=repr)
+    size = defaultdict(list)
+    for r in got:
+        size[str(r["shard"])].append(len(r["text"] or ""))
+    assert all(sum(x) <= 100 or len(x) == 1 for x in size.values())
