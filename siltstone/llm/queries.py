@@ -2,6 +2,7 @@
 
 from siltstone.llm.archive import OP2_SQL, op2_archive
 from siltstone.llm.chat_format import OP1_SQL, op1_chat_format
+from siltstone.llm.collocations import OP13_SQL, op13_collocations
 from siltstone.llm.decontaminate import OP8_SQL, op8_decontaminate
 from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op7_near_duplicates": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_quality": OP9_SQL,
+    "op13_collocations": OP13_SQL,
 }
