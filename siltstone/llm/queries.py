@@ -7,6 +7,7 @@ from siltstone.llm.decontaminate import OP8_SQL, op8_decontaminate
 from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
 from siltstone.llm.packing import op6_packing
+from siltstone.llm.prefix_tree import OP12_SQL, op12_prefix_tree
 from siltstone.llm.quality import OP9_SQL, op9_quality
 from siltstone.llm.sharding import OP3_SQL, op3_sharding
 from siltstone.llm.toxicity import op4_toxicity
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
+    "op12_prefix_tree": op12_prefix_tree,
     "op13_collocations": op13_collocations,
 }
 
@@ -34,5 +36,6 @@ ORACLES = {
     "op7_near_duplicates": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_quality": OP9_SQL,
+    "op12_prefix_tree": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }
