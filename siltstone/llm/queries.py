@@ -6,6 +6,7 @@ from siltstone.llm.collocations import OP13_SQL, op13_collocations
 from siltstone.llm.decontaminate import OP8_SQL, op8_decontaminate
 from siltstone.llm.html_density import op10_html_text
 from siltstone.llm.minmax import OP7_SQL, op7_near_duplicates
+from siltstone.llm.ngram_quality import op11_ngram_quality
 from siltstone.llm.packing import op6_packing
 from siltstone.llm.prefix_tree import OP12_SQL, op12_prefix_tree
 from siltstone.llm.quality import OP9_SQL, op9_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
+    "op11_ngram_quality": op11_ngram_quality,
     "op12_prefix_tree": op12_prefix_tree,
     "op13_collocations": op13_collocations,
 }
