@@ -28,10 +28,10 @@ def test_native_plans_have_no_python(spark, name):
     assert not [node for node in (*PYTHON, "CartesianProduct", "BroadcastNestedLoopJoin") if node in plan]
 
 
-def test_entry_registers_all_ten_and_the_pipeline():
+def test_entry_registers_all_operators_and_the_pipeline():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {f"{n.split('_')[0]}_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {f"{n.split('_')[0]}_" for n in names if n.startswith("op")}
     assert "pipeline" in names
     assert set(entry.oracle_sql()) <= names
