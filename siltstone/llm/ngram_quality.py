@@ -187,6 +187,7 @@ def fit(
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1. Row by row; null counts as empty, and empty texts are scored, too.
 
+    A column named like the score is replaced.
     Only features with a weight are sent: their numbers and values, bounded by the number of features.
     """
     used = np.flatnonzero(weights[:-1])
@@ -194,7 +195,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: st
     sent = docs.sparkSession.sparkContext.broadcast(packed)
     mark = f"ngram-quality-{hashlib.sha256(packed[0] + packed[1]).hexdigest()}"
     out = docs.withColumn(name, F.lit(0.0).cast("double"))
-    position = docs.columns.index(text_col)
+    position, place = docs.columns.index(text_col), out.columns.index(name)
 
     def unpacked() -> np.ndarray:
         full = np.zeros(sent.value[3])
@@ -207,7 +208,9 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: st
             scores = np.full(batch.num_rows, offset)
             for at, count, text, cell, value in features(words.encoded(batch.column(position))):
                 scores[at : at + count] += np.bincount(text, full[cell] * value, minlength=count)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(chance(scores), pa.float64())], batch.schema.names)
+            columns = [*batch.columns]
+            columns[place] = pa.array(chance(scores), pa.float64())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return out.mapInArrow(rate, out.schema)
 
