@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,12 +11,13 @@ from pyspark.sql import types as T
 
 from siltstone.functions.dates import ts_literal
 from siltstone.operators.joins import skew_join
+from siltstone.operators.numbering import numbered
+from siltstone.session import materialize
 
 _RANK = "__rank"
 
 # Rows that one task numbers in surrogate_id, about.
 ROWS_PER_BUCKET = 1_000_000
-SAMPLE_PER_BUCKET = 64
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -61,9 +60,14 @@ def first_per_key(
     return _ranked(df, keys, [F.col(order).asc_nulls_last(), *_ties(df, keys, order, ties)])
 
 
+def _written(per_key: DataFrame) -> DataFrame:
+    """One row per key, written: an aggregate in the stage of its join would keep Spark from splitting a hot key."""
+    return materialize(per_key, "per-key")
+
+
 def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All rows that carry the newest value of ``order`` for their key."""
-    newest = df.groupBy(*keys).agg(F.max(order).alias(order))
+    newest = _written(df.groupBy(*keys).agg(F.max(order).alias(order)))
     return skew_join(df, newest, [*keys, order], "left_semi")
 
 
@@ -75,7 +79,7 @@ def first_seen(
     since: dt.datetime | None = None,
 ) -> DataFrame:
     """Attach the first ``ts`` per key; with ``since``, keep keys first seen from then on."""
-    firsts = df.groupBy(*keys).agg(F.min(ts).alias(name))
+    firsts = _written(df.groupBy(*keys).agg(F.min(ts).alias(name)))
     if since is None:
         return skew_join(df, firsts, keys, "left")
     return skew_join(df, firsts.where(F.col(name) >= ts_literal(since)), keys, "inner")
@@ -106,62 +110,10 @@ def surrogate_id(
 ) -> DataFrame:
     """Dense 1..n ids in key order, nulls last; ``keys`` must identify a row.
 
-    Rows go to value-based buckets, are numbered inside their bucket and shifted by the
-    size of the buckets before it. Bucket borders come from a hashed sample of bounded
-    size, so every evaluation puts a row into the same bucket. The keys are read four
-    times: materialize a costly input first.
-    """
-    sort = [F.col(k).asc_nulls_last() for k in keys]
-    total = df.count()
-    buckets = max(1, -(-total // rows_per_bucket))
-    # Comparing (is null, value) pairs puts nulls last.
-    pairs = [
-        part
-        for i, k in enumerate(keys)
-        for part in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))
-    ]
-    keyed = df.withColumn("__key", F.struct(*pairs))
-    step = max(1, total // (buckets * SAMPLE_PER_BUCKET))
-    sample = keyed.select("__key").where(F.pmod(F.xxhash64("__key"), F.lit(step)) == 0).distinct()
-    found = [r[0] for r in sample.orderBy("__key").select(F.to_json("__key")).collect()]
-    borders = [found[i * len(found) // buckets] for i in range(1, buckets)] if found else []
-
-    bucketed = _bucketed(keyed, borders).drop("__key")
-    # One count for each bucket, turned into the number of rows before it.
-    sizes = {r["__bucket"]: r["count"] for r in bucketed.groupBy("__bucket").count().collect()}
-    before = [0, *accumulate(sizes.get(i, 0) for i in range(len(borders)))]
-    shift = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__bucket"))
-    inside = Window.partitionBy("__bucket").orderBy(*sort)
-    numbered = bucketed.withColumn(name, F.row_number().over(inside) + shift)
-    return numbered.drop("__bucket")
-
-
-def _bucketed(keyed: DataFrame, borders: list[str]) -> DataFrame:
-    """Add ``__bucket``, the number of borders (JSON, ascending) at or below ``__key``.
-
-    The search has two levels, so a row meets about twice the square root of the borders.
+    The rows are dealt by key ranges of about ``rows_per_bucket``, sorted and written, and shifted by the
+    sizes of the ranges ahead of them: see :func:`siltstone.operators.numbering.numbered`.
     """
-    if not borders:
-        return keyed.withColumn("__bucket", F.lit(0))
-    kind = keyed.schema["__key"].dataType.simpleString()
-    width = max(1, int(len(borders) ** 0.5))
-    groups = [borders[i : i + width] for i in range(0, len(borders), width)]
-    heads = F.from_json(F.lit("[" + ",".join(g[0] for g in groups) + "]"), f"array<{kind}>")
-    bodies_json = "[" + ",".join("[" + ",".join(g) + "]" for g in groups) + "]"
-    bodies = F.from_json(F.lit(bodies_json), f"array<array<{kind}>>")
-
-    if len(keyed.schema["__key"].dataType) == 2:  # one key: compare values, not pairs
-        missing, value = F.col("__key.n0"), F.col("__key.k0")
-
-        def reached(border: Column) -> Column:
-            return missing | (~border["n0"] & (border["k0"] <= value))
-    else:
-
-        def reached(border: Column) -> Column:
-            return border <= F.col("__key")
-
-    group = keyed.withColumn("__group", F.size(F.filter(heads, reached)))
-    body = F.try_element_at(bodies, F.col("__group"))
-    inside = (F.col("__group") - 1) * width + F.size(F.filter(body, reached))
-    bucket = F.when(F.col("__group") == 0, 0).otherwise(inside)
-    return group.withColumn("__bucket", bucket).drop("__group")
+    ranges = max(1, -(-df.count() // rows_per_bucket))
+    place = f"__{name}"
+    rows = numbered(df, [F.col(f"`{k}`").asc_nulls_last() for k in keys], place, ranges)
+    return rows.withColumn(name, F.col(place) + 1).drop(place)
