@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,21 +50,23 @@ def flatten(
     ignore: Sequence[str] = (),
     replace_sep: str | None = None,
     max_items: int | Mapping[str, int] | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Structs and arrays to flat columns ``a_b_0_c``.
 
-    ``ignore`` names top-level columns to leave out. Array widths are declared through
+    ``ignore`` names top-level columns to leave out, ``only`` those to flatten: others stay as they are. Array widths are declared through
     ``max_items`` (one number, or one per array path) or measured, however wide; data wider than a
     declared width fails the job instead of losing items. ``explode_items`` gives the long form.
     """
     kept = [f for f in df.schema if f.name not in set(ignore)]
+    opened = [f for f in kept if only is None or f.name in only]
     declared = max_items is not None
     if isinstance(max_items, Mapping):
         widths = dict(max_items)
     elif declared:
-        widths = {p: max_items for f in kept for p, _ in _array_sizes(f.dataType, f.name)}
+        widths = {p: max_items for f in opened for p, _ in _array_sizes(f.dataType, f.name)}
     else:
-        widths = array_widths(df, [f.name for f in kept])
+        widths = array_widths(df, [f.name for f in opened])
     out: list[Column] = []
     names: set[str] = set()
 
@@ -95,7 +98,10 @@ def flatten(
             emit(col, name)
 
     for f in kept:
-        walk(F.col(f"`{f.name}`"), f.dataType, name_of("", f.name), f.name)
+        if f in opened:
+            walk(F.col(f"`{f.name}`"), f.dataType, name_of("", f.name), f.name)
+        else:
+            emit(F.col(f"`{f.name}`"), f.name)
     return df.select(*out)
 
 
@@ -309,3 +315,28 @@ def page_records(df: DataFrame, records: str, drop: Sequence[str] = ("attributes
     """Pages of record arrays to flat rows, without the columns of the given prefixes."""
     rows = df.select(F.explode(F.col(records)).alias("r")).select("r.*")
     return drop_prefixed(flatten(rows), *drop)
+
+
+def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | Mapping[str, int] | None = None, broken: str | None = None) -> DataFrame:
+    """Replace a column of JSON text by one column for each field that any document has.
+
+    The shape is not declared: documents are read as variants, whose schemas Spark merges in one
+    aggregate. A field has its values' common type; where rows disagree, it is text, a document as
+    JSON. Names and arrays follow :func:`flatten`. What is no JSON gives nulls, and its text in ``broken``.
+    Values that are no objects stand in a column named like the old one.
+    """
+    others = [c for c in df.columns if c != column]
+    document = F.try_parse_json(F.col(f"`{column}`"))
+    held = df.withColumn("__document", document)
+    found = held.agg(F.schema_of_variant_agg("__document")).first()[0] or "VOID"
+    # SQL types have other names for two of a variant's shapes; names stand in backticks where they are odd.
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)
+    parts[::2] = [re.sub(r"\bOBJECT(?=<)", "STRUCT", re.sub(r"\bVOID\b(?!:)", "STRING", p)) for p in parts[::2]]
+    kind = "".join(parts)
+    typed = F.try_variant_get("__document", "$", kind).alias(column)
+    kept = [F.when(F.col("__document").isNull(), F.col(f"`{column}`")).alias(broken)] if broken else []
+    flat = held.select(*[F.col(f"`{c}`") for c in others], typed, *kept)
+    documents = flatten(flat, sep, max_items=max_items, only=[column])
+    # Fields whose rows disagree are still variants.
+    texts = {f.name for f in documents.schema if isinstance(f.dataType, T.VariantType) and f.name not in others}
+    return documents.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in texts else F.col(f"`{c}`") for c in documents.columns])

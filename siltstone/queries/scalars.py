@@ -279,8 +279,8 @@ def q_to_number(t):
 _NAME = """
 select s_suppkey, 'in/x_' || case s_suppkey % 4 when 0 then 'Fees' when 1 then 'INTERCHANGE'
   when 2 then 'presentments' else 'other' end || '_' ||
-  case s_suppkey % 5 when 0 then '20221216' when 1 then '20221216_to_20221218' when 2 then '20221399'
-  when 3 then 'DEC' else '20230101' end || '_' || cast(s_suppkey as {text}) || '.csv' as path from supplier
+  case s_suppkey % 5 when 0 then '20310704' when 1 then '20310704_to_20310802' when 2 then '20310231'
+  when 3 then 'summer' else '20300101' end || '_' || cast(s_suppkey as {text}) || '.csv' as path from supplier
 """
 
 

@@ -53,10 +53,10 @@ D = dt.date
 
 @pytest.mark.parametrize(
     "value,first,last",
-    [("a_20221216.csv", D(2022, 12, 16), D(2022, 12, 16)),
-     ("a_20221216_to_20221218_REGEN_01.csv", D(2022, 12, 16), D(2022, 12, 18)),
-     ("a_DEC_16_2022.csv", None, None), ("a_20221399.csv", None, None),
-     ("a_20221216_to_20221399.csv", None, None)],
+    [("till_20310704.csv", D(2031, 7, 4), D(2031, 7, 4)),
+     ("till_20310704_to_20310802-again.csv", D(2031, 7, 4), D(2031, 8, 2)),
+     ("till_summer.csv", None, None), ("till_20310231.csv", None, None),
+     ("till_20310704_to_20310732.csv", None, None)],
 )
 def test_file_dates(spark, value, first, last):
     row = spark.createDataFrame([(value,)], "v string").select(*rules.file_dates(F.col("v"))).first()
