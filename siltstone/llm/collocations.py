@@ -6,10 +6,11 @@ through its node: all edges that begin with it, those that a piece's end cut sho
 whose whole flow enters or leaves by one edge lies on a unary path and is compacted into that edge;
 what is left are the path's ends, whose cuts are scored.
 
-A phrase can only be frequent if all its words and pairs of neighbours are. A first pass counts these
-in a table of fixed size, by hash and saturating, and the second pass ends an edge at a pair whose
-counter stays below the least frequency. Counters are shared, so a rare pair may pass; it costs a row
-and changes no result. The table is all that is ever broadcast, and its size is a parameter.
+A phrase can only be frequent if all that it begins with is. A first pass counts the grams of every
+size in a table of fixed size, by hash and saturating, and in the second pass an edge ends where its
+counter stays below the least frequency: no frequent flow goes on from there. Counters are shared, so a
+rare edge may pass; it costs a row and changes no result. The table is all that is ever broadcast, and
+its size is a parameter.
 """
 
 from __future__ import annotations
@@ -92,8 +93,17 @@ class Found:
         breaks = np.concatenate(([0], np.cumsum(SEPARATOR[data])))
         self.linked = np.zeros(len(self.starts), dtype=bool)
         self.linked[:-1] = breaks[self.starts[1:]] == breaks[self.ends[:-1]]
-        self.pairs = np.zeros(len(self.starts), dtype=np.uint64)
-        self.pairs[:-1] = words.mixed(self.hashes[:-1] * _STEP + self.hashes[1:])
+
+    def grams(self, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each size from 1: the hash of the gram at each word, and whether its piece has so many words."""
+        hashes, inside = self.hashes, np.ones(len(self.hashes), dtype=bool)
+        yield hashes, inside
+        link = self.linked
+        for k in range(1, longest):
+            inside = inside & link
+            link = np.append(link[1:], False)
+            hashes = words.mixed(hashes * _STEP + np.append(self.hashes[k:], np.zeros(min(k, len(hashes)), np.uint64)))
+            yield hashes, inside
 
 
 def found_words(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Found, list[str]]]:
@@ -110,8 +120,8 @@ def found_words(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Found, list
                 yield data, found, names
 
 
-def frequent_bits(rows: DataFrame, least: int, bits: int) -> bytes:
-    """One bit for each counter: whether the words and pairs that share it may be frequent.
+def frequent_bits(rows: DataFrame, least: int, bits: int, longest: int) -> bytes:
+    """One bit for each counter: whether the grams that share it may be frequent.
 
     Each task adds up a table of its own; the tables are merged part by part, as a stream, so that no
     task ever holds more than its parts. The result has 2 ** bits bits, whatever the input.
@@ -124,7 +134,7 @@ def frequent_bits(rows: DataFrame, least: int, bits: int) -> bytes:
         for batch in batches:
             with np.errstate(over="ignore"):
                 for _, found, _ in found_words(batch):
-                    cells = np.concatenate((found.hashes[found.own], found.pairs[found.own & found.linked])) >> shift
+                    cells = np.concatenate([hashes[found.own & inside] for hashes, inside in found.grams(longest)]) >> shift
                     cell, many = np.unique(cells, return_counts=True)
                     cell = cell.astype(np.int64)
                     counters[cell] = np.minimum(counters[cell] + many, MOST)
@@ -152,21 +162,12 @@ def frequent_bits(rows: DataFrame, least: int, bits: int) -> bytes:
 
 
 def lengths(found: Found, frequent: np.ndarray, shift: np.uint64, longest: int) -> np.ndarray:
-    """Words of the edge that begins at each word; 0 for a word that is rare itself."""
-
-    def may(hashes: np.ndarray) -> np.ndarray:
+    """Words of the edge that begins at each word: as many as may be frequent together; 0 for a word that is rare itself."""
+    size = np.zeros(len(found.hashes), np.int64)
+    for k, (hashes, inside) in enumerate(found.grams(longest)):
         cell = (hashes >> shift).astype(np.int64)
-        return (frequent[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
-
-    common = may(found.hashes)
-    link = found.linked & common & may(found.pairs)
-    link[:-1] &= common[1:]
-    size = common.astype(np.int64)
-    run = link.copy()
-    for k in range(1, longest):
-        size += run
-        run[:-k] &= link[k:]
-        run[-k:] = False
+        may = frequent[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1
+        size += inside & (size == k) & may.astype(bool)
     return size
 
 
@@ -302,7 +303,7 @@ def collocations(
     frequency, then by the phrase's bytes.
     """
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
-    bits = frequent_bits(rows, least, counter_bits)
+    bits = frequent_bits(rows, least, counter_bits, longest)
     nodes = materialize(flows(edges(rows, bits, longest), least), "collocation-nodes")
     # Written, so that Spark knows its size and that of the frequent nodes when it joins them.
     totals = materialize(nodes.where("size = 0").select("lang", F.col("f").alias("n")), "collocation-totals")

@@ -91,7 +91,7 @@ def test_long_texts_lose_no_gram_at_a_cut(monkeypatch):
                 found = col.Found(data, bounds, np.zeros(len(bounds) - 1, np.int64), np.ones(1, np.uint64))
                 if not len(found.starts):
                     continue
-                size = np.minimum(np.array([1 + next((k for k in range(len(found.linked) - i) if not found.linked[i + k]), 0) for i in range(len(found.linked))]), 5)
+                size = sum(inside.astype(np.int64) for _, inside in found.grams(5))
                 at, many = col.edges_of(found, size, 5)
                 for phrase, n in zip(col.phrases_at(data, found, at, size).to_pylist(), many.tolist(), strict=True):
                     out[phrase] += n
