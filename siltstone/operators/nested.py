@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,7 +169,9 @@ def literal_to_json(col: Column) -> Column:
     for word, json_word in LITERAL_WORDS:
         pattern = _OUTSIDE.replace("{first}", word[0]).replace("{rest}", word[1:])
         out = F.transform(out, _rewritten(word, pattern, "$1" + json_word))
-    return F.get(out, F.lit(0))
+    # Most texts have none of the words and take no step at all.
+    some = reduce(lambda a, b: a | b, [col.contains(word) for word, _ in LITERAL_WORDS])
+    return F.when(some, F.get(out, F.lit(0))).otherwise(col)
 
 
 def parse_document(col: Column, ddl: str) -> Column:

@@ -20,8 +20,9 @@ from siltstone.operators.joins import skew_join, work_list
 from siltstone.operators.keys import dedup_newest
 from siltstone.operators.nested import flatten, flatten_columns, props
 from siltstone.operators.profile import infer_schema, run_summary
-from siltstone.operators.sets import id_diff, new_items, union_evolve
+from siltstone.operators.sets import id_diff, new_items
 from siltstone.sources.readers import list_files, read_table
+from siltstone.sources.split_scan import read_csv_by_name
 from siltstone.sources.writers import compact
 
 # ---------------------------------------------------------------- events
@@ -55,6 +56,7 @@ def curated_events(
 # Marker in the file name of each card file group.
 CARD_GROUPS = {"_fees_": "fees", "_interchange_": "interchange", "_presentments_": "presentments"}
 FILE_KEY = "file_key"
+SOURCE_FILE = "source_file"
 
 
 def backfill_plan(
@@ -96,22 +98,6 @@ def backfill_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Paths grouped by header line, so that files of one read share their column order."""
-    lines = spark.read.text(list(paths)).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("position"),
-    )
-    # Within one scan a file's first line has the lowest position of its first block.
-    heads = (
-        lines.where(F.col("file_block_start") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by("value", "position").alias("header"))
-    )
-    by_header = heads.groupBy("header").agg(F.collect_list("file_path").alias("paths"))
-    return [row["paths"] for row in by_header.collect()]
-
-
 def load_card_files(
     spark: SparkSession,
     folder: str,
@@ -121,9 +107,10 @@ def load_card_files(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """New CSV files to one frame per group, and the paths they came from.
 
-    Columns are matched by lower-case name, ordered by the group schema, tagged with the
-    source file; columns outside the schema are dropped. ``file_key`` tells files of one name in
-    different folders apart. File names (not rows) pass the driver, as in any read.
+    Columns are matched by name without case, ordered by the group schema, tagged with the source
+    file; columns outside the schema are dropped. Headers and records come out of one read, in byte
+    ranges: a large file is many tasks, many small ones share a task. ``file_key`` tells files of one name
+    in different folders apart. File names (not rows) pass the driver, as in any read.
     """
     found = new_items(list_files(spark, folder, "*.csv").select("path"), manifest, "path")
     grouped = found.withColumn("file_group", file_group(base_name(F.col("path")), groups))
@@ -133,16 +120,12 @@ def load_card_files(
         paths = [r["path"] for r in todo.where(F.col("file_group") == group).orderBy("path").collect()]
         if not paths:
             continue
-        frames = [
-            keep_declared(
-                lower_names(st.source_file(read_table(spark, same, "csv"))).withColumn(
-                    FILE_KEY, F.sha1(F.col("_metadata.file_path"))
-                ),
-                [*schemas[group], FILE_KEY],
-            )
-            for same in header_groups(spark, paths)
-        ]
-        out[group] = conform(union_evolve(*frames), {**schemas[group], FILE_KEY: "string"}, fill_missing=False)
+        rows = read_csv_by_name(spark, paths, [c for c in schemas[group] if c != SOURCE_FILE], "__file")
+        name = F.url_decode(F.replace(F.substring_index("__file", "/", -1), F.lit("+"), F.lit("%2B")))
+        tagged = rows.withColumn(SOURCE_FILE, name).withColumn(FILE_KEY, F.sha1("__file")).drop("__file")
+        out[group] = conform(
+            tagged.select(*[F.col(f"`{c}`") for c in schemas[group]], FILE_KEY), {**schemas[group], FILE_KEY: "string"}, fill_missing=False
+        )
     return out, todo.select("path")
 
 

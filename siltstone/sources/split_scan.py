@@ -10,7 +10,7 @@ holds more than a range or a record.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -210,3 +210,36 @@ def read_csv(
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
     how = {"escape": "\\", "columnNameOfCorruptRecord": corrupt, **(options or {})}
     return lines.select(F.from_csv("text", ddl, how).alias("r")).select("r.*")
+
+
+def read_csv_by_name(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str],
+    file_column: str,
+    min_tasks: int | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The named columns of CSV files of any column order, as text, and the file of each row.
+
+    Every file's first record names its columns; names are compared without case, and a column that a
+    file lacks is null. The headers, one row for each file, come out of the same read as the records.
+    """
+    found = materialize(records(spark, path, "\n", False, min_tasks), "csv-records")
+    text = F.regexp_replace(F.regexp_replace("text", "\\r$", ""), "^\\uFEFF", "")
+    lines = found.select("file", "first", text.alias("text")).where("trim(text) <> ''")
+    how = {"escape": "\\", **(options or {})}
+    # No file has more columns than its header has commas, and one.
+    most = lines.where("first").agg(F.max(_count(F.col("text"), ","))).first()[0]
+    width = 1 + (most or 0)
+    ddl = ", ".join(f"`{i}` string" for i in range(width))
+
+    def cells() -> Column:
+        parsed = F.from_csv("text", ddl, how)
+        return F.transform(F.array(parsed), lambda r: F.array(*[r[str(i)] for i in range(width)]))
+
+    # Written, so that Spark knows its size: one row for each file.
+    heads = materialize(lines.where("first").select("file", F.transform(F.get(cells(), F.lit(0)), F.lower).alias("names")), "csv-headers")
+    rows = lines.where(~F.col("first")).select("file", F.get(cells(), F.lit(0)).alias("cells")).join(heads, "file")
+    named = [F.try_element_at("cells", F.nullif(F.array_position("names", c.lower()), F.lit(0)).cast("int")).alias(c) for c in columns]
+    return rows.select(*named, F.col("file").alias(file_column))

@@ -99,3 +99,11 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path):
     rows = split_scan.records(spark, path, "}", True, 16)
     assert rows.count() == 3001  # and what follows the last object
     assert work_path(spark, "x")
+
+
+@pytest.mark.parametrize("tasks", [1, 50])
+def test_csv_columns_are_found_by_name_in_every_file(spark, tmp_path, tasks):
+    path = written(spark, tmp_path, 'A,b\n1,"x\n,y"\n2,\n', 'B,"junk, more",a\r\n"q",z,3\r\n', "b\nonly\n", "a\n")
+    df = split_scan.read_csv_by_name(spark, path, ["a", "b", "gone"], "file", tasks)
+    rows = sorted(((r["a"] or "", r["b"] or "", r["gone"], r["file"][-1]) for r in df.collect()))
+    assert rows == [("", "only", None, "2"), ("1", "x\n,y", None, "0"), ("2", "", None, "0"), ("3", "q", None, "1")]
