@@ -9,6 +9,7 @@ from siltstone.queries import inputs as i
 from siltstone.queries.inputs import frame, sub
 from siltstone.queries.registry import query
 from siltstone.queries.scalars import _bucket_case
+from siltstone.session import work_path
 
 AS_OF = dt.date(2024, 2, 10)
 NOW = dt.datetime(2024, 2, 10, 12, 30)
@@ -16,7 +17,7 @@ NOW = dt.datetime(2024, 2, 10, 12, 30)
 _AGE = "date_sub('year', try_cast(date_of_birth as date), date '2024-02-10')"
 
 
-@query(f"""
+_TIMELINE_SQL = f"""
 with log as (select *, coalesce(key_id, alt_key_id) user_id from {sub(i.CHANGE_LOG)} where updated_at is not null),
 last_ as (select * from (select *, row_number() over (partition by user_id order by updated_at desc nulls last, status) rn from log) where rn = 1),
 first_ as (select user_id, min(updated_at) first_join_date from log group by user_id)
@@ -30,12 +31,25 @@ select l.user_id, updated_at, status, nationality, address_country, address_stat
   case when gender like 'Female%' then 1 when gender like 'Male%' then 0 end gender_code,
   push_marketing, sms_marketing, email_marketing, first_join_date, '20240210' as "date"
 from last_ l left join first_ f on l.user_id = f.user_id
-""")
+"""
+
+
+@query(_TIMELINE_SQL)
 def q_timeline(t):
     """Customer timeline."""
     return customers.timeline(frame(t, i.CHANGE_LOG), AS_OF)
 
 
+@query(_TIMELINE_SQL)
+def q_timeline_by_deltas(t):
+    """Customer timeline from stored states, the log arriving in three parts; the second one comes twice."""
+    log, root = frame(t, i.CHANGE_LOG), work_path(t.spark, "timeline")
+    part = F.pmod(F.coalesce(F.datediff("updated_at", F.lit("2020-01-01")), F.lit(0)), F.lit(3))
+    for number in (0, 1, 1, 2):
+        rows = customers.refresh_timeline(log.where(part == number), root, f"part-{number}", AS_OF)
+    return rows
+
+
 @query(f"""
 with log as (select * from {sub(i.CHANGE_LOG)}),
 newest as (select l.* from log l join (select key_id, max(updated_at) m from log group by key_id) x
