@@ -36,11 +36,11 @@ def q_curated_events(t):
 _PLAN = f"""
 select path, split_part(path, '/', 2) filename, first_day, last_day, file_group,
   case when first_day is null then 'undated'
-    when last_day < '2022-12-10' or first_day > '2022-12-31' then 'out of range'
+    when last_day < '2031-06-20' or first_day > '2031-08-15' then 'out of range'
     when file_group is null then 'no group' when s_suppkey % 7 = 0 then 'exists' else 'copied' end outcome
 from (select path, s_suppkey,
-  case s_suppkey % 5 when 0 then '2022-12-16' when 1 then '2022-12-16' when 4 then '2023-01-01' end first_day,
-  case s_suppkey % 5 when 0 then '2022-12-16' when 1 then '2022-12-18' when 4 then '2023-01-01' end last_day,
+  case s_suppkey % 5 when 0 then '2031-07-04' when 1 then '2031-07-04' when 4 then '2030-01-01' end first_day,
+  case s_suppkey % 5 when 0 then '2031-07-04' when 1 then '2031-08-02' when 4 then '2030-01-01' end last_day,
   case s_suppkey % 4 when 0 then 'fees' when 1 then 'interchange' when 2 then 'presentments' end file_group
   from {FILE_NAMES})
 """
@@ -49,7 +49,7 @@ from (select path, s_suppkey,
 def _plan(t):
     files = file_names(t)
     done = files.where(F.col("s_suppkey") % 7 == 0).select("path")
-    return ingest.backfill_plan(files.select("path"), done, dt.date(2022, 12, 10), dt.date(2022, 12, 31))
+    return ingest.backfill_plan(files.select("path"), done, dt.date(2031, 6, 20), dt.date(2031, 8, 15))
 
 
 @query(_PLAN)
