@@ -51,7 +51,9 @@ def timeline(log: DataFrame, as_of: dt.date) -> DataFrame:
     return _timeline_rows(newest, firsts, as_of)
 
 
-def refresh_timeline(delta: DataFrame, root: str, batch: str, as_of: dt.date) -> DataFrame:
+def refresh_timeline(
+    delta: DataFrame, root: str, batch: str, as_of: dt.date, buckets: int = latest_state.BUCKETS
+) -> DataFrame:
     """The timeline after new rows of the change log, from states that hold all earlier ones.
 
     ``delta`` is all that is read of the log: the newest row and the first date of each customer are stored
@@ -59,9 +61,9 @@ def refresh_timeline(delta: DataFrame, root: str, batch: str, as_of: dt.date) ->
     its batch is repeated. Every delta must have the same columns.
     """
     changes = _changes(delta)
-    latest_state.advance(changes, f"{root}/newest", batch, ["user_id"], "updated_at", ["status"])
+    latest_state.advance(changes, f"{root}/newest", batch, ["user_id"], "updated_at", ["status"], buckets=buckets)
     dates = changes.select("user_id", "updated_at")
-    latest_state.advance(dates, f"{root}/first", batch, ["user_id"], "updated_at", oldest=True)
+    latest_state.advance(dates, f"{root}/first", batch, ["user_id"], "updated_at", oldest=True, buckets=buckets)
     firsts = latest_state.state(delta.sparkSession, f"{root}/first")
     newest = latest_state.state(delta.sparkSession, f"{root}/newest")
     return _timeline_rows(newest, firsts.withColumnRenamed("updated_at", "first_join_date"), as_of)

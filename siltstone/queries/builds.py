@@ -46,7 +46,7 @@ def q_timeline_by_deltas(t):
     log, root = frame(t, i.CHANGE_LOG), work_path(t.spark, "timeline")
     part = F.pmod(F.coalesce(F.datediff("updated_at", F.lit("2020-01-01")), F.lit(0)), F.lit(3))
     for number in (0, 1, 1, 2):
-        rows = customers.refresh_timeline(log.where(part == number), root, f"part-{number}", AS_OF)
+        rows = customers.refresh_timeline(log.where(part == number), root, f"part-{number}", AS_OF, buckets=8)
     return rows
 
 

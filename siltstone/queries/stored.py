@@ -58,7 +58,7 @@ def q_latest_by_deltas(t):
     for i in (0, 1, 1, 2):
         part = days[i * third : (i + 1) * third]
         delta = t.spark.read.parquet(path).where(F.col("day").isin(part)).drop("day")
-        latest_state.advance(delta, root, f"part-{i}", ["user_id"], "ts", ["event_id"])
+        latest_state.advance(delta, root, f"part-{i}", ["user_id"], "ts", ["event_id"], buckets=8)
     return latest_state.state(t.spark, root)
 
 
