@@ -40,6 +40,8 @@ COUNTER_BITS = 25
 #: Counters that travel in one row.
 PART = 1 << 13
 MOST = 255
+#: Bytes of text whose edges are found at once; what they have in common is added up by Spark, before the shuffle.
+BUFFER = 1 << 18
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, 0x09]] = True
@@ -62,7 +64,7 @@ def buffers(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     at = 0
     while at < len(texts):
         stop, size = at, 0
-        while stop < len(texts) and size + len(texts[stop]) < words.CHUNK:
+        while stop < len(texts) and size + len(texts[stop]) < BUFFER:
             size += len(texts[stop]) + 1
             stop += 1
         if stop > at:
@@ -71,7 +73,7 @@ def buffers(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         else:
             text, begin = texts[at], 0
             while begin < len(text):
-                blank = _BLANK_AT.search(text, begin + words.CHUNK)
+                blank = _BLANK_AT.search(text, begin + BUFFER)
                 cut = blank.start() if blank else len(text)
                 end = _NEXT_WORDS.match(text, cut).end()
                 yield LOWER[np.frombuffer(text, np.uint8, end - begin, begin)], np.array([0, cut - begin]), at

@@ -6,7 +6,6 @@ from fractions import Fraction
 import pytest
 
 from siltstone.llm import collocations as col
-from siltstone.llm import words
 
 DOCS = "doc_id long, text string, lang string, size long, phrase string, n long"
 
@@ -84,7 +83,7 @@ def test_long_texts_lose_no_gram_at_a_cut(monkeypatch):
     import numpy as np
 
     def counted(chunk):
-        monkeypatch.setattr(words, "CHUNK", chunk)
+        monkeypatch.setattr(col, "BUFFER", chunk)
         out = Counter()
         for data, bounds, _ in col.buffers([b"x", text, b""]):
             with np.errstate(over="ignore"):
