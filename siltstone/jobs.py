@@ -16,7 +16,7 @@ from siltstone.operators.conform import keep_declared
 from siltstone.plans import ingest
 from siltstone.plans.funnel import REPORT_COLUMNS, funnel_report
 from siltstone.sources.readers import read_partition, read_snapshot
-from siltstone.sources.writers import MAX_ROWS_PER_FILE, write_report, write_table
+from siltstone.sources.writers import MAX_ROWS_PER_FILE, replace_units, write_report, write_table
 from siltstone.streaming.arrivals import BROKEN, FILE, batch_writer, file_stream, run_available
 
 MANIFEST_SCHEMA = T.StructType([T.StructField("path", T.StringType())])
@@ -153,11 +153,12 @@ def run_positions(
     """Save what arrived, return the outcome per unit; callers decide what partial means.
 
     A unit is one portfolio and date: a repeated call replaces the units that it brings and no others.
+    Portfolios share the hash buckets of their day, so a million of them make no million folders.
     """
     rows, summary = ingest.positions(responses, portfolios, first, last, extracted_at)
     unit = ["date", "portfolio_id"]
     columns = [*schema, *[c for c in unit if c not in schema]]
-    refresh_table(keep_declared(rows, columns), f"{lake}/{table}", unit)
+    replace_units(keep_declared(rows, columns), f"{lake}/{table}", unit)
     return summary
 
 

@@ -6,15 +6,21 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.schema import with_comments
+from siltstone.session import materialize
 
 # Rows per output file and size of compacted files.
 MAX_ROWS_PER_FILE = 400_000
 TARGET_MB = 127
 
+#: Hash buckets that the units of one partition lie in.
+UNIT_BUCKETS = 64
+UNIT_BUCKET = "unit_bucket"
+
 WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
     "csv": {"header": "true", "escape": "\\"},
@@ -60,6 +66,40 @@ def write_table(
         writer.save(path)
 
 
+def replace_units(
+    df: DataFrame, path: str, units: Sequence[str], partition_by: Sequence[str] = ("date",), buckets: int = UNIT_BUCKETS
+) -> None:
+    """Replace the rows of the units that ``df`` brings (all of a table's rows with their ``units`` values) and no others.
+
+    Units lie in a bounded number of hash buckets inside each partition, however many there are. The touched
+    buckets are read, freed of the units that come anew, and written whole; they are prepared beside the
+    table first, so a run that stops leaves the table as it was. ``units`` include ``partition_by``.
+    """
+    spark = df.sparkSession
+    if not set(partition_by) <= set(units):
+        raise ValueError("units must include the partition columns")
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{u}`").cast("string") for u in units]), F.lit(buckets)).cast("string")
+    fresh = materialize(df.withColumn(UNIT_BUCKET, bucket), "units")
+    layout = [*partition_by, UNIT_BUCKET]
+    merged = fresh
+    try:
+        table = spark.read.schema(fresh.schema).parquet(path)
+        # Days and buckets of this run: a few values, which prune the listing.
+        values = {c: [r[0] for r in fresh.select(c).distinct().collect()] for c in layout}
+        for c, found in values.items():
+            table = table.where(F.col(f"`{c}`").isin([v for v in found if v is not None]) | (F.lit(None in found) & F.col(f"`{c}`").isNull()))
+        touched = table.alias("old").join(
+            fresh.select(*layout).distinct().alias("new"), reduce(lambda a, b: a & b, [F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in layout]), "left_semi"
+        )
+        again = reduce(lambda a, b: a & b, [F.col(f"old.`{u}`").eqNullSafe(F.col(f"come.`{u}`")) for u in units])
+        kept = touched.alias("old").join(fresh.select(*units).distinct().alias("come"), again, "left_anti")
+        merged = materialize(kept.select(*[F.col(f"`{c}`") for c in fresh.columns]).unionByName(fresh), "units-merged")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+    write_table(merged, path, mode="overwrite_partitions", partition_by=layout, balanced=True)
+
+
 def write_with_fallback(
     df: DataFrame, path: str, fallback_path: str, partition_by: Sequence[str] = (), **kwargs
 ) -> None:

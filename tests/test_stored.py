@@ -9,7 +9,7 @@ from siltstone.operators import id_digests, latest_state
 from siltstone.operators.keys import first_per_key, latest_per_key
 from siltstone.operators.numbering import numbered
 from siltstone.session import work_path
-from siltstone.sources import compaction, snapshots, versions
+from siltstone.sources import compaction, snapshots, versions, writers
 
 LOG = "key long, at long, value string, note string"
 
@@ -136,3 +136,21 @@ def test_rows_are_numbered_in_order_over_many_ranges(spark):
     assert [tuple(r)[:2] for r in sorted(got, key=lambda r: r["n"])] == want
     assert sorted(r["n"] for r in got) == list(range(500))
     assert numbered(df.limit(0), [F.col("a")], "n").count() == 0
+
+
+def test_units_are_replaced_inside_a_bounded_number_of_folders(spark):
+    path = work_path(spark, "units")
+    kind = "date string, unit string, n long"
+    first = [(d, u, i) for d in ("a", "b") for u in [None, *map(str, range(90))] for i in (1, 2)]
+    writers.replace_units(spark.createDataFrame(first, kind), path, ["date", "unit"], buckets=4)
+    second = [("a", "7", 70), ("a", None, 0), ("b", "new", 5)]
+    for _ in range(2):  # a repeated run changes nothing
+        writers.replace_units(spark.createDataFrame(second, kind), path, ["date", "unit"], buckets=4)
+    got = sorted(spark.read.parquet(path).select("date", "unit", "n").collect(), key=str)
+    want = [r for r in first if (r[0], r[1]) not in {("a", "7"), ("a", None)}] + second
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert spark.read.parquet(path).select("date", "unit_bucket").distinct().count() <= 8
+    writers.replace_units(spark.createDataFrame([], kind), path, ["date", "unit"], buckets=4)
+    assert spark.read.parquet(path).count() == len(want)
+    with pytest.raises(ValueError, match="partition"):
+        writers.replace_units(spark.createDataFrame([], kind), path, ["unit"])
