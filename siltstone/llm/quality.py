@@ -2,7 +2,8 @@
 
 Each document is measured; measures are summed into mergeable sketches (logarithmic bins with counts,
 so that merging is adding and the result does not depend on the order); each (language, source) gets
-its own cutoffs from its sketch; documents meet their cutoffs by a join.
+its own cutoffs from its sketch, or, where it is too small to judge by, from the merged sketch of its
+language or of all; documents meet their cutoffs by a join.
 """
 
 from __future__ import annotations
@@ -17,16 +18,23 @@ from siltstone.session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Ratios of the sketches, in thousandths.
-FEATURES = ("symbols", "word_length", "dup_lines", "capitals", "marks")
+#: Ratios of the sketches: a count and what it is a share of.
+SHARES = {
+    "symbols": ("n_symbols", "word_chars"), "word_length": ("word_chars", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"),
+    "capitals": ("n_capitals", "word_chars"), "marks": ("n_marks", "word_chars"),
+}
+FEATURES = tuple(SHARES)
 
 #: Relative error of a sketch's quantiles.
 ACCURACY = 0.01
 
-#: Cutoff: the median plus this many interquartile ranges, of at least the least range, both ways.
+#: Cutoff: the median plus this many interquartile ranges, both ways.
 RANGES = 4
-#: Least range per feature (thousandths), so that a group of equal values does not reject its next.
-LEAST = {"symbols": 10, "word_length": 500, "dup_lines": 125, "capitals": 50, "marks": 15}
+#: A document is unusual if its count lies so many standard deviations of a count beyond the cutoff: one or two symbols
+#: of a short text tell nothing, even in a group without any.
+DEVIATIONS = 3
+#: Groups of fewer documents go by the merged sketch of their language, languages of fewer by that of all.
+LEAST_ROWS = 50
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -113,11 +121,7 @@ def measured(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataF
 
 
 def _ratio(m: Column, feature: str) -> Column:
-    part, whole = {
-        "symbols": ("n_symbols", "word_chars"), "word_length": ("word_chars", "n_words"),
-        "dup_lines": ("n_dup_lines", "n_lines"), "capitals": ("n_capitals", "word_chars"),
-        "marks": ("n_marks", "word_chars"),
-    }[feature]
+    part, whole = SHARES[feature]
     return F.when(m[whole] > 0, F.floor(F.lit(1000) * m[part] / m[whole])).otherwise(F.lit(0)).cast("long")
 
 
@@ -149,18 +153,30 @@ def sketch(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
     )
 
 
+def _scopes(lang: Column, source: Column) -> Column:
+    """A group itself, its language, and all, as (level, lang, source)."""
+    none = F.lit(None).cast("string")
+    levels = ((lang, source), (lang, none), (none, none))
+    return F.array(*[F.struct(F.lit(i).alias("level"), a.alias("lang"), b.alias("source")) for i, (a, b) in enumerate(levels)])
+
+
 def cutoffs(sketches: DataFrame) -> DataFrame:
     """Low and high cutoffs per (lang, source), as a map of feature to (low, high).
 
-    A quantile is the value of the first bin at which the running count reaches q * n. A group has at
-    most some hundred bins per feature, whatever its rows.
+    A quantile is the value of the first bin at which the running count reaches q * n. A scope has at
+    most some hundred bins per feature, whatever its rows. Groups without a scope of ``LEAST_ROWS``
+    documents have no row.
     """
+    groups = sketches.withColumns({c: F.col(c).cast("string") for c in ("lang", "source")})
     per = (
-        sketches.groupBy("lang", "source", "feature")
+        groups.select(F.explode(_scopes(F.col("lang"), F.col("source"))).alias("scope"), "feature", "bin", "n")
+        .groupBy("scope", "feature", "bin").agg(F.sum("n").alias("n"))
+        .groupBy("scope", "feature")
         .agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("total"))
+        .filter(F.col("total") >= LEAST_ROWS)
     )
 
-    def quantile(q: float) -> Column:
+    def quantile(quarters: int) -> Column:
         start = F.struct(F.lit(0).cast("long").alias("run"), F.lit(None).cast("int").alias("bin"))
         return value_of(
             F.aggregate(
@@ -168,23 +184,35 @@ def cutoffs(sketches: DataFrame) -> DataFrame:
                 lambda acc, x: F.struct(
                     (acc["run"] + x["n"]).alias("run"),
                     F.when(acc["bin"].isNotNull(), acc["bin"])
-                    .when(F.lit(4) * (acc["run"] + x["n"]) >= F.lit(int(4 * q)) * F.col("total"), x["bin"])
+                    .when(F.lit(4) * (acc["run"] + x["n"]) >= F.lit(quarters) * F.col("total"), x["bin"])
                     .alias("bin"),
                 ),
                 lambda acc: acc["bin"],
             )
         )
 
-    least = F.create_map(*[x for n in FEATURES for x in (F.lit(n), F.lit(float(LEAST[n])))])
-    spread = F.greatest(F.col("q3") - F.col("q1"), least[F.col("feature")])
+    spread = F.lit(RANGES) * (F.col("q3") - F.col("q1"))
+    limits = (
+        per.withColumns({"q1": quantile(1), "q2": quantile(2), "q3": quantile(3)})
+        .withColumn("limits", F.struct((F.col("q2") - spread).alias("low"), (F.col("q2") + spread).alias("high")))
+        .groupBy("scope")
+        .agg(F.map_from_entries(F.collect_list(F.struct("feature", "limits"))).alias("limits"))
+    )
+    asked = groups.select("lang", "source").distinct().withColumn("asked", F.explode(_scopes(F.col("lang"), F.col("source"))))
     return (
-        per.withColumns({"q1": quantile(0.25), "q2": quantile(0.5), "q3": quantile(0.75)})
-        .withColumn("limits", F.struct((F.col("q2") - RANGES * spread).alias("low"), (F.col("q2") + RANGES * spread).alias("high")))
+        asked.join(limits, asked["asked"].eqNullSafe(limits["scope"]))
         .groupBy("lang", "source")
-        .agg(F.map_from_entries(F.collect_list(F.struct("feature", "limits"))).alias("limits"))
+        .agg(F.min_by("limits", F.col("asked.level")).alias("limits"))
     )
 
 
+def unusual(m: Column, feature: str, low: Column, high: Column) -> Column:
+    """Whether a count lies beyond its cutoffs by more than its own chance deviation; null where there is no cutoff."""
+    part, whole = (m[n].cast("double") for n in SHARES[feature])
+    least, most = F.greatest(low, F.lit(0.0)) * whole / F.lit(1000.0), high * whole / F.lit(1000.0)
+    return (part - F.lit(DEVIATIONS) * F.sqrt(part) > most) | (part + F.lit(DEVIATIONS) * F.sqrt(least) < least)
+
+
 def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with structs ``_m`` (counts), ``_r`` (ratios) and the columns ``_base_failed``, ``_kept``.
 
@@ -193,26 +221,27 @@ def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
     with a third of all rows is spread, and Spark broadcasts them where its size estimate allows.
 
     A null text counts as empty. Empty texts fail the base rule (under 20 words). Groups of one
-    document keep what passes the base rule, as nothing is unusual in them. Ties and repeated rows
-    get the same verdict. An empty table gives no rows.
+    document go by the documents of their language, and tables of fewer than ``LEAST_ROWS`` documents keep
+    what passes the base rule, as nothing is unusual in them. Very long texts are measured whole. Ties and
+    repeated rows get the same verdict. An empty table gives no rows.
     """
     limits = materialize(cutoffs(sketch(docs, lang, source, text)), "quality-cutoffs")
     limits = salted(
         limits.select(F.struct("lang", "source").alias("_group"), F.col("limits").alias("_limits"))
     ).withColumnRenamed("salt", "_salt")
     rows = measured(docs, text).withColumn(
-        "_group", F.struct(F.col(lang).alias("lang"), F.col(source).alias("source"))
+        "_group", F.struct(F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))
     ).withColumn("_salt", salt_of(F.col(text)))
     base = (F.col("_m.n_words") < LEAST_WORDS) | (
         F.lit(100) * F.col("_m.n_repeat_words") > F.lit(MOST_REPEATED) * F.col("_m.n_words")
     )
-    usual = F.lit(True)
+    odd = F.lit(False)
     for n in FEATURES:
-        usual &= F.col(f"_r.{n}").between(F.col("_limits")[n]["low"], F.col("_limits")[n]["high"])
+        odd |= unusual(F.col("_m"), n, F.col("_limits")[n]["low"], F.col("_limits")[n]["high"])
     joined = rows.join(limits, rows["_group"].eqNullSafe(limits["_group"]) & (rows["_salt"] == limits["_salt"]), "left").drop(
         limits["_group"]
     ).drop(limits["_salt"])
-    return joined.withColumn("_base_failed", base).withColumn("_kept", ~base & F.coalesce(usual, F.lit(True)))
+    return joined.withColumn("_base_failed", base).withColumn("_kept", ~base & ~F.coalesce(odd, F.lit(False)))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -232,13 +261,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_sql(source: str = "documents") -> str:
     """DuckDB: common table expressions that end in ``verdicts`` (doc_id, counts, base_failed, kept)."""
-    feature = {
-        "symbols": "n_symbols * 1000 // nullif(word_chars, 0)", "word_length": "word_chars * 1000 // nullif(n_words, 0)",
-        "dup_lines": "n_dup_lines * 1000 // nullif(n_lines, 0)", "capitals": "n_capitals * 1000 // nullif(word_chars, 0)",
-        "marks": "n_marks * 1000 // nullif(word_chars, 0)",
-    }
-    columns = ", ".join(f"coalesce({sql}, 0)::bigint as {n}" for n, sql in feature.items())
-    least = " ".join(f"when '{n}' then {LEAST[n]}" for n in FEATURES)
+    shares = ", ".join(f"{{'feature': '{n}', 'part': {part}, 'whole': {whole}}}" for n, (part, whole) in SHARES.items())
+    level = "case when b{0} <= 0 then 0 else 2 * exp((b{0} - 1) * {1!r}) / {2!r} end"
+    q1, q2, q3 = (level.format(i, _RATIO, 1 + math.exp(_RATIO)) for i in (1, 2, 3))
     return f"""
 texts as (
     select doc_id, lang, source, coalesce(text, '') as t,
@@ -260,35 +285,40 @@ texts as (
         len(regexp_extract_all(t, '\\p{{Lu}}'))::bigint as n_capitals, len(regexp_extract_all(t, '[!?]'))::bigint as n_marks,
         coalesce(n_repeat_words, 0)::bigint as n_repeat_words
     from texts t left join covered c on c.doc_id is not distinct from t.doc_id
-), ratios as (
-    select *, {columns} from counts
+), shares as (
+    select doc_id, lang, source, unnest([{shares}]) as s from counts
 ), long as (
-    unpivot ratios on {", ".join(FEATURES)} into name feature value v
+    select doc_id, lang, source, s.feature as feature, s.part as part, s.whole as whole, coalesce(s.part * 1000 // nullif(s.whole, 0), 0) as v
+    from shares
+), scopes as (
+    select distinct lang as own_lang, source as own_source, unnest([0, 1, 2]) as level from texts
+), asked as (
+    select *, case when level < 2 then own_lang end as lang, case when level < 1 then own_source end as source from scopes
 ), bins as (
-    select lang, source, feature, case when v <= 0 then 0 else ceil(ln(v) / {_RATIO!r}) + 1 end as bin, count(*) as n
-    from long group by all
+    select level, case when level < 2 then lang end as lang, case when level < 1 then source end as source, feature,
+        case when v <= 0 then 0 else ceil(ln(v) / {_RATIO!r}) + 1 end as bin, count(*) as n
+    from long, range(3) l(level) group by all
 ), running as (
-    select *, sum(n) over (partition by lang, source, feature order by bin) as run,
-        sum(n) over (partition by lang, source, feature) as total
+    select *, sum(n) over (partition by level, lang, source, feature order by bin) as run,
+        sum(n) over (partition by level, lang, source, feature) as total
     from bins
 ), quantiles as (
-    select lang, source, feature, min(bin) filter (4 * run >= total) as b1, min(bin) filter (4 * run >= 2 * total) as b2,
+    select level, lang, source, feature, min(bin) filter (4 * run >= total) as b1, min(bin) filter (4 * run >= 2 * total) as b2,
         min(bin) filter (4 * run >= 3 * total) as b3
-    from running group by all
+    from running where total >= {LEAST_ROWS} group by all
 ), levels as (
-    select lang, source, feature,
-        case when b1 <= 0 then 0 else 2 * exp((b1 - 1) * {_RATIO!r}) / {1 + math.exp(_RATIO)!r} end as q1,
-        case when b2 <= 0 then 0 else 2 * exp((b2 - 1) * {_RATIO!r}) / {1 + math.exp(_RATIO)!r} end as q2,
-        case when b3 <= 0 then 0 else 2 * exp((b3 - 1) * {_RATIO!r}) / {1 + math.exp(_RATIO)!r} end as q3
-    from quantiles
+    select level, lang, source, feature, {q1} as q1, {q2} as q2, {q3} as q3 from quantiles
 ), limits as (
-    select lang, source, feature, q2 - {RANGES} * greatest(q3 - q1, case feature {least} end) as low,
-        q2 + {RANGES} * greatest(q3 - q1, case feature {least} end) as high
-    from levels
+    select own_lang, own_source, feature, arg_min(q2 - {RANGES} * (q3 - q1), a.level) as low, arg_min(q2 + {RANGES} * (q3 - q1), a.level) as high
+    from asked a join levels l on a.level = l.level and a.lang is not distinct from l.lang and a.source is not distinct from l.source
+    group by all
+), expected as (
+    select doc_id, part, greatest(low, 0) * whole / 1000.0 as least, high * whole / 1000.0 as most
+    from long l join limits c
+        on l.lang is not distinct from c.own_lang and l.source is not distinct from c.own_source and l.feature = c.feature
 ), unusual as (
-    select distinct l.doc_id from long l join limits c
-        on l.lang is not distinct from c.lang and l.source is not distinct from c.source and l.feature = c.feature
-    where l.v < c.low or l.v > c.high
+    select distinct doc_id from expected
+    where part - {DEVIATIONS} * sqrt(part) > most or part + {DEVIATIONS} * sqrt(least) < least
 ), verdicts as (
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words as base_failed,

@@ -73,3 +73,71 @@ def test_sketch_error(spark):
 def test_repeated_words(spark, text, want):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(repeated_words(words_of(F.col("t")))).first()[0] == want
+
+
+def capitals(group, start, n, high):
+    """Texts of 100 words of four letters with 0 to ``high`` capitals, evenly spread."""
+    return [
+        (start + i, " ".join(f"{'X' if k < high * i // (n - 1) else 'x'}{chr(97 + k // 26)}{chr(97 + k % 26)}{chr(97 + i % 26)}" for k in range(100)), "en", group, 1, None)
+        for i in range(n)
+    ]
+
+
+def brute_limits(rows, measure):
+    """Quartiles and cutoffs of one feature, by sorting all values of each scope."""
+    def limits(part):
+        if len(part) < quality.LEAST_ROWS:
+            return None
+        values = sorted(part)
+        q1, q2, q3 = (values[-(-len(values) * q // 4) - 1] for q in (1, 2, 3))
+        return q2 - quality.RANGES * (q3 - q1), q2 + quality.RANGES * (q3 - q1)
+
+    out = {}
+    for lang, source in {(r[2], r[3]) for r in rows}:
+        scopes = ([r for r in rows if (r[2], r[3]) == (lang, source)], [r for r in rows if r[2] == lang], rows)
+        out[lang, source] = next((x for x in (limits([measure(r[1]) for r in scope]) for scope in scopes) if x), None)
+    return out
+
+
+def test_cutoffs_follow_the_sketches(spark):
+    """Groups of one median whose quartiles differ get cutoffs and verdicts that differ; small ones go by their language, then by all."""
+    # Medians of 30 capitals of 400 letters; quartiles narrow in one group and wide in the other.
+    narrow = [(i, capitals("narrow", 0, 2, 30)[-1][1], "en", "narrow", 1, None) for i in range(80)]
+    wide = capitals("wide", 1000, 81, 60)
+    probe = capitals("wide", 0, 2, 100)[-1][1]
+    rows = narrow + wide + [(5000, probe, "en", "narrow", 1, None), (5001, probe, "en", "wide", 1, None)]
+    rows += [(6000, probe, "en", "few", 1, None), (6001, probe, "is", "few", 1, None), (6002, None, None, None, 1, None)]
+    df = spark.createDataFrame(rows, KIND)
+    got = {(r["lang"], r["source"]): r["limits"]["capitals"] for r in quality.cutoffs(quality.sketch(df)).collect()}
+    measure = lambda t: 1000 * len(re.findall("[A-Z]", t or "")) // max(1, len(re.sub(r"\s", "", t or "")))
+    want = brute_limits(rows, measure)
+    assert got.keys() == want.keys()
+    for key, (low, high) in want.items():
+        assert got[key]["low"] == pytest.approx(low, abs=12) and got[key]["high"] == pytest.approx(high, abs=12)
+    assert got["en", "wide"]["high"] > 2 * got["en", "narrow"]["high"]
+    kept = {r["doc_id"] for r in keep_good(df).collect()}
+    assert 5000 not in kept and 5001 in kept and {r[0] for r in wide} <= kept
+    # The few follow the sketch of their language or of all: wide enough for the probe or not, as brute force says.
+    share = measure(probe)
+    for doc, key in ((6000, ("en", "few")), (6001, ("is", "few"))):
+        count = share * 400 / 1000
+        assert (doc in kept) == (count - 3 * count**0.5 <= want[key][1] * 400 / 1000)
+
+
+def test_small_tables_keep_what_passes_the_base_rules(spark):
+    rows = [(i, " ".join(f"w{k}{'$$$' * (i == 1)}" for k in range(30)), "en", "s", 1, None) for i in range(quality.LEAST_ROWS - 1)]
+    assert keep_good(spark.createDataFrame(rows, KIND)).count() == len(rows)
+    assert quality.cutoffs(quality.sketch(spark.createDataFrame(rows, KIND))).count() == 0
+
+
+def test_sql_gives_the_same_verdicts(spark, tmp_path):
+    import duckdb
+
+    rows = capitals("wide", 0, 81, 60) + [(900 + i, t, None if i % 2 else "en", "odd" if i % 3 else None, 1, None) for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, KIND)
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["_m"]["n_repeat_words"], r["_base_failed"], r["_kept"]) for r in judged(df).collect()}
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"with {quality.quality_sql()} select doc_id, n_repeat_words, base_failed, kept from verdicts").fetchall()
+    assert got == {d: (n, b, k) for d, n, b, k in want}
