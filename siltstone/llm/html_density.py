@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -44,12 +44,12 @@ BARRIERS = {
     "option": {"select"}, "optgroup": {"select"}, "tbody": {"table"},
 }
 
-#: Never part of an article.
+#: Never part of an article, unless they are the wrapper of the page's main part.
 DROPPED = frozenset(
     "head nav footer aside form button select input svg canvas audio video object embed dialog menu search map".split()
 ) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Never text at all, so that they do not count in the text of a page.
+#: Never text at all, so that they do not count in the text of a page and are never opened.
 CONTROLS = RAW | frozenset("head select button svg canvas audio video object embed map".split())
 #: Words of class and id that mark menus, adverts, notices and comments.
 DROPPED_WORDS = frozenset(
@@ -69,6 +69,13 @@ LANDMARKS = frozenset(("article", "main"))
 #: Beside the path, what is not mostly links counts so many times inside a landmark that the path runs through; headings there stay.
 LANDMARK_WEIGHT = 50
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: Blocks of text: beside the path they stay, at any density, where the path meets no landmark and few links.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure table".split()) | {RUN}
+TITLES = frozenset("h1 h2".split())
+#: An ancestor is of one kind with the densest node if its share of text outside links is at least so much of that node's.
+NEAR = 0.9
+#: A landmark beside the path's landmark stays if it has at least so much of its text.
+LEAST_SIBLING = 0.25
 
 
 class Node:
@@ -87,16 +94,11 @@ class Node:
         self.structure = tag in BLOCKS or tag == RUN
 
 
-def _inside(node: Node | None) -> bool:
-    while node is not None:
-        if node.landmark:
-            return True
-        node = node.parent
-    return False
+def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, frozenset[str], bool]:
+    """Whether an element is left out, whether it is a landmark, the words against it, and whether it is marked as the page's main part.
 
-
-def _kind(tag: str, attributes: str, parent: Node) -> tuple[bool, bool, frozenset[str], bool]:
-    """Whether an element is left out, whether it is a landmark, the words against it, and whether it is marked as the page's main part."""
+    ``inside`` says whether it stands in a landmark.
+    """
     if tag in DROPPED:
         return True, False, frozenset(), False
     landmark = tag in LANDMARKS
@@ -117,7 +119,7 @@ def _kind(tag: str, attributes: str, parent: Node) -> tuple[bool, bool, frozense
         if words and not ADVERTS.isdisjoint(f"{found.get('class', '')} {found.get('id', '')}".lower().split()):
             words |= {ADVERT}
         header = "header" in said
-    if not landmark and (tag in HEADERS or header) and not _inside(parent):
+    if not landmark and (tag in HEADERS or header) and not inside:
         if tag in HEADERS:
             return True, False, frozenset(), False
         words |= {"header"}
@@ -136,6 +138,35 @@ def _plain(root: Node) -> int:
     return total
 
 
+def _open_wrappers(root: Node) -> None:
+    """Open the elements left out by tag, role or hiding that wrap the main part: forms around whole pages and the like.
+
+    Such an element holds more than half of the text outside links, and no landmark outside of it has text.
+    What is left out inside it is judged in the same way; controls, scripts and styles are never opened.
+    """
+    order, stack, any_dropped = [], [root], False
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        any_dropped |= node.dropped
+        stack += [c for c in node.children if isinstance(c, Node) and c.tag != "a" and c.tag not in CONTROLS]
+    if not any_dropped:
+        return
+    plain: dict[int, int] = {}
+    named: dict[int, int] = {}
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node) and id(c) in plain]
+        plain[id(node)] = sum(plain[id(c)] for c in inner) + sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        named[id(node)] = plain[id(node)] if node.landmark else sum(named[id(c)] for c in inner)
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.dropped and 2 * plain[id(node)] > plain[id(root)] and named[id(node)] == named[id(root)]:
+            node.dropped = False
+        if not node.dropped:
+            stack += [c for c in node.children if isinstance(c, Node) and id(c) in plain]
+
+
 def _drop_marked(root: Node) -> None:
     """Leave out the elements that a word of class or id speaks against.
 
@@ -182,16 +213,63 @@ def _drop_marked(root: Node) -> None:
             node.dropped = False
 
 
+class Open:
+    """The open elements while a page is read, with the depths of each tag, so that no search walks through them."""
+
+    LANDMARK = "#landmark"
+
+    def __init__(self, root: Node) -> None:
+        self.nodes = [root]
+        self.depths: dict[str, list[int]] = {}
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        for name in (node.tag, self.LANDMARK) if node.landmark else (node.tag,):
+            self.depths.setdefault(name, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def deepest(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element of these tags; 0 if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def _cut(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            node = self.nodes.pop()
+            for name in (node.tag, self.LANDMARK) if node.landmark else (node.tag,):
+                self.depths[name].pop()
+
+    def close(self, tag: str) -> None:
+        """An end tag: closes the innermost open element of the tag and all inside it, if there is one."""
+        if depth := self.deepest((tag,)):
+            self._cut(depth)
+
+    def end(self, tags: Iterable[str], barriers: Iterable[str]) -> None:
+        """A start tag that ends an open element of ``tags`` inside the innermost barrier."""
+        while (depth := self.deepest(tags)) > self.deepest(barriers):
+            self._cut(depth)
+            # A cell or row that ends takes the others of its set along.
+            if self.top.tag not in tags:
+                return
+
+
 def parse(html: str) -> Node:
     """The tree of a page, without elements that are never content; ends of elements are implied as browsers do."""
     root = Node("html", None)
-    at, node = 0, root
+    at, opened = 0, Open(root)
     scan, end = MARKUP.search, len(html)
+    last = html.rfind(">")
     while at < end:
+        if at > last:
+            # Nothing but a comment without end can be markup here.
+            opened.top.children.append(html[at:].partition("<!--")[0])
+            break
         found = scan(html, at)
         text = html[at : found.start()] if found else html[at:]
         if text:
-            node.children.append(text)
+            opened.top.children.append(text)
         if not found:
             break
         at = found.end()
@@ -200,52 +278,33 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if found[1] or found[4]:
-            node = _close(node, tag)
+            opened.close(tag)
             continue
+        if tag == "body" or tag in BLOCKS:
+            opened.close("head")
         if tag in ("html", "body"):
             continue
         if tag in BLOCKS:
-            node = _end_open(node, {"p"}, {"table", "td", "th", "button"})
+            opened.end(("p",), ("table", "td", "th", "button"))
         if tag in ENDS:
-            node = _end_open(node, ENDS[tag], BARRIERS[tag])
+            opened.end(ENDS[tag], BARRIERS[tag])
         attributes = found[3] or found[6] or ""
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = stop.end() if stop else end
             continue
         if tag == "br":
-            node.children.append(" ")
+            opened.top.children.append(" ")
             continue
-        child = Node(tag, node, *_kind(tag, attributes, node))
-        node.children.append(child)
+        child = Node(tag, opened.top, *_kind(tag, attributes, opened.deepest((Open.LANDMARK,)) > 0))
+        opened.top.children.append(child)
         if tag not in VOID and not (attributes.endswith("/") and tag not in BLOCKS):
-            node = child
+            opened.push(child)
+    _open_wrappers(root)
     _drop_marked(root)
     return root
 
 
-def _end_open(node: Node, tags: set[str], barriers: set[str]) -> Node:
-    up: Node | None = node
-    while up is not None and up.parent is not None:
-        if up.tag in tags:
-            outer = up.parent
-            # A cell or row that ends takes the others of its set along.
-            return _end_open(outer, tags, barriers) if outer.tag in tags else outer
-        if up.tag in barriers:
-            return node
-        up = up.parent
-    return node
-
-
-def _close(node: Node, tag: str) -> Node:
-    up: Node | None = node
-    while up is not None and up.parent is not None:
-        if up.tag == tag:
-            return up.parent
-        up = up.parent
-    return node
-
-
 def _runs(order: list[Node]) -> None:
     """Make every run of text and inline elements that stands beside blocks a node of its own; what is dropped ends no run."""
     for node in reversed(order):
@@ -322,8 +381,21 @@ def weigh(root: Node) -> list[Node]:
     return order
 
 
+def _plain_share(node: Node) -> float:
+    """Share of text outside links, children that are mostly links left aside."""
+    held = [c for c in node.children if isinstance(c, Node) and not c.dropped and 2 * c.link_chars > c.chars]
+    chars = node.chars - sum(c.chars for c in held)
+    return (chars - node.link_chars + sum(c.link_chars for c in held)) / max(1, chars)
+
+
 def chosen(root: Node) -> list[Node]:
-    """The subtrees that hold the main text, in page order."""
+    """The subtrees that hold the main text, in page order.
+
+    The densest node, and beside its path what reaches the least density on it. Where the path meets no
+    landmark, titles stay, and so do paragraphs, lists and bare text in ancestors with as few links as
+    the densest node: leads and closing words are short. Beside a landmark on the path, another
+    of some size stays that is not mostly links, and none of whose class or id a word speaks against alone.
+    """
     order = weigh(root)
     best = max(order, key=lambda n: n.total) if any(n.total for n in order) else root
     if best is root:
@@ -334,11 +406,24 @@ def chosen(root: Node) -> list[Node]:
     least = min(n.density for n in path)
     marked = max((at for at, n in enumerate(path) if n.landmark), default=0)
     on_path, keep = {id(n) for n in path}, {id(best)}
+    bare = not any(n.landmark for n in path)
+    near = 0
+    while bare and near + 2 < len(path) and _plain_share(path[near + 1]) >= NEAR * _plain_share(best):
+        near += 1
     for at, node in enumerate(path[1:], 1):
+        along = path[at - 1]
         for child in node.children:
             if isinstance(child, Node) and not child.dropped and child.chars and id(child) not in on_path:
                 inside = at <= marked and 2 * child.link_chars <= child.chars
                 weight = LANDMARK_WEIGHT if inside else 1
+                texty = 2 * child.link_chars <= child.chars
+                if bare and texty and (child.tag in TITLES or (at <= near and child.tag in TEXTS)):
+                    keep.add(id(child))
+                if along.landmark and child.landmark:
+                    if child.words - along.words:
+                        continue
+                    if texty and child.chars - child.link_chars >= LEAST_SIBLING * (along.chars - along.link_chars):
+                        keep.add(id(child))
                 if (inside and child.tag in HEADINGS) or child.density * weight >= least:
                     keep.add(id(child))
     return [n for n in order if id(n) in keep]
@@ -380,7 +465,8 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     """(id, url, text, n_chars) for every row, row by row: nothing is shuffled, nothing is cut.
 
     Null ids and urls pass through; repeated rows give repeated results; extra columns are ignored;
-    an empty table gives no rows. A page is held whole in one task.
+    an empty table gives no rows. A page is held whole in one task, and its time grows with its length alone,
+    also for hundreds of thousands of elements that are never closed.
     """
     picked = df.select(id_col, url_col, html_col)
     schema = f"{id_col} {picked.schema[0].dataType.simpleString()}, {url_col} string, text string, n_chars bigint"

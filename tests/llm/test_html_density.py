@@ -1,9 +1,12 @@
+import math
+import random
 import re
+import time
 from html import unescape
 
 import pytest
 
-from siltstone.llm.html_density import extract, main_text, parse, weigh
+from siltstone.llm.html_density import chosen, extract, main_text, parse, weigh
 from siltstone.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -126,6 +129,101 @@ def test_deep_and_long_pages_end():
     assert len(main_text(f"<article><p>{'word ' * 300_000}</article>")) == 1_499_999
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        *(
+            (f"<body>{head}<div><ul>{LINKS}</ul></div><{tag}><article>{PARAGRAPHS}<select><option>no</select></article></{tag.split()[0]}></body>", FIVE)
+            for head in ("", "<nav><a href=x>Home</a></nav>")
+            for tag in ("form id=aspnetForm", "menu", "div aria-hidden=true", "div role=dialog", "header", "aside", "div style='display:none'")
+        ),
+        (f"<form><div>{PARAGRAPHS}</div><button>Send</button><input></form><footer>c</footer>", FIVE),
+        # Wrappers in wrappers.
+        (f"<form><div role=dialog><header><article>{PARAGRAPHS}</article></header></div><aside>{LONG}</aside></form>", FIVE),
+        # A landmark outside keeps them shut, whatever their size; and so does the lesser part of the text.
+        (f"<article><p>{LONG}</p></article><form>{LONG * 9}</form><dialog>{LONG * 9}</dialog>", [LONG]),
+        (f"<div>{PARAGRAPHS}</div><aside><article><p>{LONG}</p></article></aside>", FIVE),
+        # A head without end.
+        (f"<head><title>no</title><link rel=x><body><div>{PARAGRAPHS}</div>", FIVE),
+        (f"<head><meta x><div>{PARAGRAPHS}</div>", FIVE),
+    ],
+)
+def test_no_wrapper_takes_the_article(html, want):
+    assert main_text(html).split("\n") == want
+
+
+SIX = [f"Paragraph {i}. {LONG} {LONG}" for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in SIX)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<div><h1>Title</h1><p>Lead.</p><div class=body>{BODY}</div><p>The end.</p></div>", ["Title", "Lead.", *SIX, "The end."]),
+        (f"<body><div><ul>{LINKS}</ul></div><div><h1>Title</h1><p>Lead.</p><div class=body>{BODY}</div><p>The end.</p></div></body>", ["Title", "Lead.", *SIX, "The end."]),
+        (f"<body><h1>Title</h1><div><div>{BODY}</div></div><div><ul>{LINKS}</ul></div></body>", ["Title", *SIX]),
+        # Lists of links beside it still go.
+        (f"<div><ul>{LINKS}</ul><div class=body>{BODY}</div><p>The end.</p></div>", [*SIX, "The end."]),
+        # Two articles of nearly one size, and one of links.
+        (f"<article>{BODY}</article><article>{BODY.replace('while', 'bit')}</article><article><ul>{LINKS}</ul></article>", [*SIX, *(x.replace("while", "bit") for x in SIX)]),
+        (f"<article>{BODY}</article><article class=comment>{BODY.replace('while', 'bit')}</article><article><p>Teaser</p></article>", SIX),
+    ],
+)
+def test_titles_leads_tails_and_siblings(html, want):
+    assert main_text(html).split("\n") == want
+
+
+def brute_density(node, page):
+    """Composite text density by walking every subtree anew."""
+    def nodes(n):
+        return [n] + [x for c in n.children if not isinstance(c, str) and not c.dropped for x in nodes(c)]
+
+    def chars(n):
+        return sum(len("".join(c.split())) for x in nodes(n) for c in x.children if isinstance(c, str))
+
+    inner = nodes(node)
+    links = [x for x in inner if x.tag == "a"]
+    outer = [x for x in links if not any(y is not x and x in nodes(y) for y in links)]
+    total, link_chars = chars(node), sum(map(chars, outer))
+    whole, page_links = chars(page), sum(chars(x) for x in nodes(page) if x.tag == "a")
+    leaf = not any(x.structure for x in inner[1:])
+    tags = 1 if leaf else max(1, sum(x.tag != "#run" for x in inner[1:]))
+    if not total:
+        return 0.0
+    base = math.log(total / max(1, total - link_chars) * link_chars + page_links / max(1, whole) * total + math.e)
+    ratio = total / max(1, link_chars) * tags / max(1, min(len(links), tags))
+    return total / tags * math.log(max(1.0, ratio)) / math.log(max(base, math.e))
+
+
+def test_densities_equal_brute_force():
+    rng = random.Random(3)
+    for _ in range(150):
+        parts = [rng.choice(["<div>", "<p>", "</div>", "</p>", "<ul>", "<li>", "</ul>", "<a href=x>link</a>", "<b>bold</b>", "some words ", LONG, "<nav>no</nav>", "<br>"]) for _ in range(rng.randint(1, 40))]
+        root = parse("".join(parts))
+        order = weigh(root)
+        for node in order:
+            assert node.density == pytest.approx(brute_density(node, root))
+            inner = [c for c in node.children if not isinstance(c, str) and not c.dropped]
+            holds = any(c.structure for c in inner)
+            if node.structure or node is root:
+                assert node.total == pytest.approx(sum(c.density for c in inner) if holds else node.density)
+        assert "".join(main_text("".join(parts)).split()) in "".join("".join(parts).split()) or chosen(root)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 200_000, "<b></i>" * 200_000, "<p><table><td>" + "<div>" * 200_000, "<p" * 200_000, "<header>" * 200_000,
+        "<form>" * 100_000, "<ul><li>" * 100_000, "<table><tr><td>" * 60_000, "<a href=x>" * 100_000, "<div class=ad>" * 100_000, "<" * 200_000,
+        "<!--" * 100_000, "<a '" * 100_000,
+    ],
+)
+def test_open_elements_take_linear_time(html):
+    start = time.process_time()
+    main_text(html + LONG)
+    assert time.process_time() - start < 20
+
+
 def test_rows_nulls_repeats_and_clashing_columns(spark):
     kind = "page_id long, url string, html string, text int, n_chars string"
     rows = [(1, "u", "<p>a", 1, "x"), (1, "u", "<p>a", 1, "x"), (None, None, None, None, None), (2, "v", "<p>\U0001f600", 1, None)]
