@@ -11,7 +11,9 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import quote
@@ -26,6 +28,8 @@ from siltstone.session import work_path
 sent_whole(__name__)
 
 CRLF = b"\r\n"
+#: The end of an HTTP head; old archives hold bare line feeds.
+HEAD_END = re.compile(rb"\r?\n\r?\n")
 #: Field lists of the two ARC versions (fixed by the format).
 ARC_FIELDS = {
     1: ("URL", "IP-address", "Archive-date", "Content-type", "Archive-length"),
@@ -34,6 +38,8 @@ ARC_FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 #: Records in one ARC container of the query, and rows per archive file.
 ARC_RECORDS, FILE_ROWS = 64, 2000
+#: Bytes of blocks after which a batch of read records is handed over.
+BATCH_BYTES = 16 << 20
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 1000
 
@@ -44,6 +50,8 @@ class ArcRecord:
     fields: dict[str, str]
     offset: int
     block: bytes
+    #: Why the header line could not be read; such a record has no fields.
+    error: str | None = None
 
     @property
     def url(self) -> str:
@@ -69,11 +77,13 @@ def arc_file(records: list[tuple[str, bytes]], version: int, date: str, name: st
     return out.getvalue()
 
 
-def arc_records(data: bytes) -> Iterator[ArcRecord]:
+def arc_records(data: bytes, lenient: bool = False) -> Iterator[ArcRecord]:
     """Records of an ARC file, by the field list that its first record declares.
 
-    Header lines with another number of fields, unreadable or overlong lengths raise ValueError: a
-    wrong length would turn the rest of the file into noise. Blank lines between records are skipped.
+    Header lines are read from the right, so that blanks in a url are part of it. Too few fields, a date that
+    is no number, unreadable or overlong lengths raise ValueError: a wrong length would turn the rest of
+    the file into noise. If ``lenient``, a line whose length alone can be read gives a record with
+    ``error``, and the next follows after its block. Blank lines between records are skipped.
     """
     at, version, names = 0, 0, ARC_FIELDS[1]
     while at < len(data):
@@ -84,14 +94,18 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
         if not line:
             at = stop + 1
             continue
-        parts = line.split(" ")
-        head = names
+        parts, head = line.rsplit(" ", len(names) - 1), names
         if version == 0:
+            parts = line.split(" ")
             if not line.startswith("filedesc://") or len(parts) not in map(len, ARC_FIELDS.values()):
                 raise ValueError("not an ARC file: no version block")
             head = next(n for n in ARC_FIELDS.values() if len(n) == len(parts))
-        if len(parts) != len(head) or not parts[-1].isdigit():
-            raise ValueError(f"header line at {at} has {len(parts)} fields for {len(head)}: {line[:200]}")
+        told = dict(zip(head, parts, strict=False))
+        wrong = None
+        if len(parts) != len(head) or not told["Archive-date"].isdigit():
+            wrong = f"header line at {at} does not fit its {len(head)} fields: {line[:200]}"
+        if not parts[-1].isdigit() or (wrong and not (lenient and version)):
+            raise ValueError(wrong or f"header line at {at} has no length: {line[:200]}")
         start, length = stop + 1, int(parts[-1])
         if start + length > len(data):
             raise ValueError(f"record at {at} declares {length} bytes, {len(data) - start} are left")
@@ -100,7 +114,7 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
             lines = block.decode("utf-8", "replace").splitlines()
             version = int(lines[0].split(" ")[0])
             names = tuple(lines[1].split(" "))
-        yield ArcRecord(version, dict(zip(head, parts, strict=True)), at, block)
+        yield ArcRecord(version, {} if wrong else told, at, block, wrong)
         at = start + length
 
 
@@ -121,12 +135,14 @@ def warc_date(date: str) -> str:
 
 def http_parts(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Headers (lower-case names), the head as it stands, and the body of an HTTP message."""
-    head, _, body = block.partition(CRLF + CRLF)
+    ends = HEAD_END.search(block)
+    head, body = (block[: ends.end()], block[ends.end() :]) if ends else (block, b"")
     named = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+    for line in head.decode("utf-8", "replace").split("\n")[1:]:
         name, _, value = line.partition(":")
-        named[name.strip().lower()] = value.strip()
-    return named, head + CRLF + CRLF, body
+        if name.strip():
+            named[name.strip().lower()] = value.strip()
+    return named, head, body
 
 
 def warc_record(record: ArcRecord, key: str, refers_key: str | None = None, refers_to: str | None = None) -> bytes:
@@ -235,6 +251,58 @@ def to_warc(pages: DataFrame, date: str = "20240101000000") -> DataFrame:
     return pages.select("page_id", "url", "html", "refers_to").mapInArrow(convert, "value binary")
 
 
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """(file, offset, version, url, ip, date, content_type, block, error) of the records of delivered ``.arc`` and ``.arc.gz`` files.
+
+    Gzip files may hold one member for each record. One file is one row of a task and is held whole there
+    (a file may have up to 2 GB, Spark's limit of one value). What cannot be read does not end the job: a
+    header line that does not fit, or the place where the rest of a file is lost, is a row with ``error``.
+    A folder without such files gives no rows.
+    """
+    names = ["file", "offset", "version", "url", "ip", "date", "content_type", "block", "error"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows, held, after = [], 0, 0
+                try:
+                    data = content.as_py()
+                    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                    for r in arc_records(data, lenient=True):
+                        told = [r.fields.get(n) for n in ("URL", "IP-address", "Archive-date", "Content-type")]
+                        rows.append([file, r.offset, r.version, *told, r.block, r.error])
+                        held, after = held + len(r.block), r.offset + 1
+                        if held >= BATCH_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
+                            rows, held = [], 0
+                except (ValueError, IndexError, EOFError, OSError, zlib.error) as broken:
+                    rows.append([file, after, None, None, None, None, None, None, str(broken)])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arc{,.gz}").load(path).select("path", "content")
+    return files.mapInArrow(
+        parse,
+        "file string, offset bigint, version int, url string, ip string, date string, content_type string, block binary, error string",
+    )
+
+
+def arc_to_warc(records: DataFrame) -> DataFrame:
+    """Rows of ``read_arc`` as WARC records (column ``value``); ids come from file and offset. Rows with ``error`` are left out."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for file, offset, version, url, ip, date, kind, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                told = {"URL": _safe_url(url), "IP-address": ip, "Archive-date": date, "Content-type": kind}
+                out.append(warc_record(ArcRecord(version, told, offset, block), f"{file}#{offset}"))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+    good = records.filter("error is null").select("file", "offset", "version", "url", "ip", "date", "content_type", "block")
+    return good.mapInArrow(convert, "value binary")
+
+
 def write_warc(records: DataFrame, path: str, rows_per_file: int = FILE_ROWS) -> None:
     """Write records as gzip WARC files: every record ends in two line ends, which is Spark's separator here."""
     records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option(
@@ -258,13 +326,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     told = record.headers
                     if told["WARC-Type"] == "warcinfo":
                         continue
-                    http, _, body = http_parts(record.block)
+                    http, _, body = ({}, b"", record.block) if told["WARC-Type"] == "resource" else http_parts(record.block)
                     digest = base64.b32decode(told["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                     if told["WARC-Type"] == "response" and hashlib.sha1(body).hexdigest() != digest:
                         raise ValueError(f"payload digest of {told['WARC-Record-ID']} differs")
                     rows.append({
-                        "key": http["x-key"] or None, "record_type": told["WARC-Type"], "refers_to": told.get("X-Refers-To-Key"),
-                        "payload_bytes": int(http["content-length"]), "payload_digest": digest,
+                        "key": http.get("x-key") or None, "record_type": told["WARC-Type"], "refers_to": told.get("X-Refers-To-Key"),
+                        "payload_bytes": len(body) if told["WARC-Type"] != "revisit" else int(http["content-length"]) if http.get("content-length", "").isdigit() else None,
+                        "payload_digest": digest,
                         "target_uri": told["WARC-Target-URI"], "warc_date": told["WARC-Date"],
                     })
                 kinds = pa.schema([(n, pa.int64() if n == "payload_bytes" else pa.string()) for n in (x.split()[0] for x in schema.split(", "))])

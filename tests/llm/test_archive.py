@@ -1,10 +1,11 @@
+import gzip
 import hashlib
 import io
 
 import pytest
 
 from siltstone.llm.archive import (
-    arc_file, arc_records, http_parts, mark_repeats, read_warc, to_warc, warc_date, warc_record, warc_records, write_warc,
+    arc_file, arc_records, arc_to_warc, http_parts, mark_repeats, read_arc, read_warc, to_warc, warc_date, warc_record, warc_records, write_warc,
 )
 from pyspark.sql import functions as F
 
@@ -60,3 +61,52 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "warc")
     write_warc(to_warc(mark_repeats(spark.createDataFrame([], KIND), "page_id", F.col("html"))), path)
     assert read_warc(spark, path).count() == 0
+
+
+def test_heads_with_bare_line_feeds():
+    for head in (b"HTTP/1.0 200 OK\nX-Key: 7\nContent-Length: 3\n\n", b"HTTP/1.0 200 OK\r\nX-Key: 7\r\n\r\n", b"HTTP/1.0 200 OK\nX-Key: 7\r\n\n"):
+        named, kept, body = http_parts(head + b"a\n\nb")
+        assert (named["x-key"], kept, body) == ("7", head, b"a\n\nb")
+    assert http_parts(b"HTTP/1.0 200 OK\r\nA: b")[1:] == (b"HTTP/1.0 200 OK\r\nA: b", b"")
+    assert http_parts(b"")[1:] == (b"", b"")
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_blanks_in_urls_and_lines_set_aside(version):
+    data = arc_file([("http://a/b c  d", MESSAGE), ("http://a/z", b"ten  bytes"), ("http://e/", MESSAGE)], version, "20200102030405", "x.arc")
+    assert [r.url for r in arc_records(data)][1:] == ["http://a/b c  d", "http://a/z", "http://e/"]
+    broken = data.replace(b"http://a/z 0.0.0.0 20200102030405 ", b"http://a/z 0.0.0.0 never ")
+    with pytest.raises(ValueError):
+        list(arc_records(broken))
+    got = list(arc_records(broken, lenient=True))
+    assert [bool(r.error) for r in got] == [False, False, True, False] and got[3].url == "http://e/"
+
+
+def test_delivered_files_become_warc(spark, tmp_path):
+    """Plain files, gzip of the whole and gzip of each record; a file that breaks off and one that is none lose only themselves."""
+    folder, out = tmp_path / "arc", str(tmp_path / "warc")
+    folder.mkdir()
+    said = {f"http://a/{i}": b"HTTP/1.1 200 OK\nServer: x\n\n" + bytes([255, i]) * i for i in range(40)}
+    items = list(said.items())
+    (folder / "one.arc").write_bytes(arc_file(items[:15], 1, "20010203040506", "one.arc"))
+    (folder / "two.arc.gz").write_bytes(gzip.compress(arc_file(items[15:30], 2, "2002", "two.arc")))
+    whole = arc_file(items[30:], 1, "20030203040506", "three.arc")
+    ends = [r.offset for r in arc_records(whole)][1:] + [len(whole)]
+    (folder / "three.arc.gz").write_bytes(b"".join(gzip.compress(whole[a:b]) for a, b in zip([0, *ends], ends)))
+    (folder / "four.arc").write_bytes(arc_file([("http://b/", MESSAGE), ("http://c/", MESSAGE)], 1, "2004", "four.arc")[:-9])
+    (folder / "five.arc.gz").write_bytes(gzip.compress(whole)[:-20])
+    (folder / "six.arc").write_bytes(b"")
+    (folder / "seven.arc").write_bytes(b"nonsense\n")
+    (folder / "note.txt").write_bytes(b"not read")
+    records = read_arc(spark, str(folder)).cache()
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in records.filter("error is not null").collect()) == ["five.arc.gz", "four.arc", "seven.arc"]
+    write_warc(arc_to_warc(records), out)
+    got = {r["target_uri"]: (r["record_type"], r["payload_bytes"], r["payload_digest"], r["warc_date"][:4]) for r in read_warc(spark, out).collect()}
+    want = {}
+    for i, (url, block) in enumerate(items):
+        body = block.partition(b"\n\n")[2]
+        want[url] = ("response", len(body), hashlib.sha1(body).hexdigest(), "2001" if i < 15 else "2002" if i < 30 else "2003")
+    body = MESSAGE.partition(b"\r\n\r\n")[2]
+    want["http://b/"] = ("response", len(body), hashlib.sha1(body).hexdigest(), "2004")
+    assert got == want
+    records.unpersist()
