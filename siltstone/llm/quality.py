@@ -216,7 +216,7 @@ def unusual(m: Column, feature: str, low: Column, high: Column) -> Column:
 def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with structs ``_m`` (counts), ``_r`` (ratios) and the columns ``_base_failed``, ``_kept``.
 
-    Cutoffs are written to the shared folder, so every later read sees one set. They meet the
+    Sketches and cutoffs are written to the shared folder, so every later read sees one set. They meet the
     documents on (lang, source), null equal to null, with the cutoffs repeated over salts: a source
     with a third of all rows is spread, and Spark broadcasts them where its size estimate allows.
 
@@ -225,7 +225,8 @@ def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
     what passes the base rule, as nothing is unusual in them. Very long texts are measured whole. Ties and
     repeated rows get the same verdict. An empty table gives no rows.
     """
-    limits = materialize(cutoffs(sketch(docs, lang, source, text)), "quality-cutoffs")
+    sketches = materialize(sketch(docs, lang, source, text), "quality-sketches")
+    limits = materialize(cutoffs(sketches), "quality-cutoffs")
     limits = salted(
         limits.select(F.struct("lang", "source").alias("_group"), F.col("limits").alias("_limits"))
     ).withColumnRenamed("salt", "_salt")
