@@ -218,6 +218,10 @@ def _deliver(t, landed, folder, name):
         store.rename(paths(part), paths(f"{folder}/{name(number, part)}"))
 
 
+# Rows of a delivered report file, about.
+_REPORT_ROWS = 20_000
+
+
 @query(f"""
 select o_orderkey id, o_orderpriority kind, cast(o_orderdate as date) booked, o_totalprice amount, strftime(o_orderdate, '%Y%m') || '01' as "date",
   timestamp '2024-02-10 12:30:00' timestamp_extracted
@@ -230,10 +234,13 @@ def q_report_files(t):
         F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("KIND"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("Booked"), F.col("o_totalprice").alias("Amount"),
     )
-    # Order keys are unique, so a file holds at most the keys of its range: no month is gathered whole.
-    part = F.floor(F.col("o_orderkey") / 10_000)
     month = F.date_format("o_orderdate", "yyyyMM")
-    reports = t.orders.groupBy(month.alias("month"), part.alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    orders = t.orders.withColumn("month", month).where("month is not null")
+    # A month is dealt over as many files as its rows fill: none is gathered whole, and files grow with rows, not with the span of keys.
+    sizes = orders.groupBy("month").agg(F.count("*").alias("n"))
+    files = F.ceil(F.col("n") / _REPORT_ROWS)
+    dealt = orders.join(F.broadcast(sizes), "month").withColumn("part", F.pmod(F.xxhash64("o_orderkey"), files))
+    reports = dealt.groupBy("month", "part").agg(F.to_json(F.collect_list(record)).alias("value"))
     reports.select("month", "value").write.partitionBy("month").option("maxRecordsPerFile", 1).text(landed)
     _deliver(t, landed, folder, lambda n, path: f"Balances_{re.search('month=([0-9]+)', path)[1]}01{n:06d}.json")
     paths = ingest.report_files(t.spark, folder, "Balances", FIRST, LAST)

@@ -165,6 +165,20 @@ def test_report_files_by_day(spark, tmp_path):
     ]
 
 
+def test_report_files_grow_with_rows_not_with_keys(spark, tmp_path):
+    from siltstone.queries import QUERIES
+
+    at = F.to_timestamp(F.lit("1996-05-03"))
+    orders = spark.range(300).select(
+        (F.col("id") * 20_011).alias("o_orderkey"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.when(F.col("id") != 7, at).alias("o_orderdate"), F.col("id").cast("double").alias("o_totalprice"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    df = QUERIES["q_report_files"](spark, str(tmp_path))
+    assert len(df.inputFiles()) == 1
+    assert sorted(r["id"] for r in df.collect()) == [i * 20_011 for i in range(300) if i != 7]
+
+
 def test_curated_events(spark, rows):
     df = spark.createDataFrame([("click", 1, "x"), ("view", 2, "y")], "event_type string, user_id int, extra string")
     out = ingest.curated_events(df, dt.date(2024, 5, 2), ["event_type", "user_id", "absent"])
