@@ -1,11 +1,12 @@
 """Splittable scans of JSON arrays and of CSV with line breaks in quotes.
 
 Spark reads such a file in one task, because a byte range does not tell whether it begins inside quotes.
-Here the file is read in byte ranges as text, cut at every ``}`` or line break into fragments. Each
-range is worked out for both possible beginnings, outside and inside quotes; a table with one row for
-each range then composes them, in file order, and says how each range really begins. Fragments
-between two ends of records are put together again and parsed, whichever ranges they lie in. No task
-holds more than a range or a record.
+Here the file is read in byte ranges as text, cut at every ``}`` or line break into fragments, and a
+byte range in blocks of fragments. Each block is worked out, without its text, for both possible
+beginnings, outside and inside quotes; a table with one row for each block then composes them, in file
+order, and says how each block really begins. A second read puts the fragments between two ends of
+records together: those of one block where they lie, only what reaches over a block's border meets
+its rest in a further, small exchange. No task holds more than a few blocks or a record.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ from siltstone.session import materialize
 CORRUPT = "_corrupt_record"
 _RANGE = ["__file", "__range"]
 
+#: Bits of a fragment's place inside its task, as ``monotonically_increasing_id`` numbers rows.
+_PLACE_BITS = 33
+#: Bits of a fragment's place inside its block: a window holds a block, however large the byte range.
+_BLOCK_BITS = 14
+
 
 @contextmanager
 def _at_least(spark: SparkSession, tasks: int | None) -> Iterator[None]:
@@ -54,13 +60,11 @@ def _opened(plain: Column) -> Column:
     return _count(F.regexp_replace(plain, '"[^"]*("|$)', ""), "{")
 
 
-def fragments(spark: SparkSession, path: str | list[str], separator: str, braces: bool) -> DataFrame:
-    """The pieces of text between separators, with what is known of each range for both ways it may begin.
+def _pieces(spark: SparkSession, path: str | list[str], separator: str, braces: bool) -> DataFrame:
+    """The pieces of text between separators, in numbered order, with the block that each one lies in.
 
-    For beginning h (0 outside, 1 inside quotes): ``inside_h`` after the piece, ``depth_h`` of braces
-    after it, relative to the range's beginning, and ``ends_h``, how many records ended before it. A
-    record ends outside quotes at the least depth that the range reaches. Behind the last separator of a
-    file a piece is left that is closed by nothing; ``rest_h`` counts without a range's last piece.
+    ``__range`` is the byte where the range begins and the block's place in its task, which grows along
+    the file.
     """
     read = spark.read.option("lineSep", separator).text(path)
     plain = _without_escapes(F.col("value"))
@@ -68,15 +72,38 @@ def fragments(spark: SparkSession, path: str | list[str], separator: str, braces
     rows = read.select(
         "value",
         F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__range"),
+        F.col("_metadata.file_block_start").alias("__start"),
         # Grows along a range, as a task reads it.
         F.monotonically_increasing_id().alias("__at"),
         (_count(plain, '"') % 2).alias("__odd"),
         (_opened(plain) if braces else zero).alias("__open_0"),
         (_opened(F.concat(F.lit('"'), plain)) if braces else zero).alias("__open_1"),
     )
+    block = F.shiftright(F.col("__at").bitwiseAND((1 << _PLACE_BITS) - 1), _BLOCK_BITS)
+    return rows.withColumn("__range", F.shiftleft("__start", _PLACE_BITS - _BLOCK_BITS) + block).drop("__start")
+
+
+def fragments(spark: SparkSession, path: str | list[str], separator: str, braces: bool) -> DataFrame:
+    """The pieces of text between separators, with what is known of each block for both ways it may begin.
+
+    For beginning h (0 outside, 1 inside quotes): ``inside_h`` after the piece, ``depth_h`` of braces
+    after it, relative to the block's beginning, and ``__ends_end_h``, whether a record ends with it. A
+    record ends outside quotes at the least depth that the block reaches. Behind the last separator of a
+    file a piece is left that is closed by nothing; ``__rest_end_h`` counts without a block's last piece.
+    """
+    return _marked(_pieces(spark, path, separator, braces), braces)
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by the keys to all shuffle partitions: these rows pack so well that merged ones would not fit in memory."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _marked(pieces: DataFrame, braces: bool) -> DataFrame:
+    rows = _dealt(pieces.drop("value"), *_RANGE)
+    zero = F.lit(0).cast("long")
     along = Window.partitionBy(*_RANGE).orderBy("__at")
-    upto, before = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("__after", F.sum("__odd").over(upto) % 2).withColumn("__last", F.lead("__at").over(along).isNull())
     for h in (0, 1):
@@ -94,24 +121,19 @@ def fragments(spark: SparkSession, path: str | list[str], separator: str, braces
         for name, least in (("ends", f"least_{h}"), ("rest", f"least_rest_{h}")):
             end = F.when((F.col(f"inside_{h}") == 0) & (F.col(f"depth_{h}") == F.col(least)), 1).otherwise(0)
             rows = rows.withColumn(f"__{name}_end_{h}", end)
-            rows = rows.withColumn(f"{name}_{h}", F.coalesce(F.sum(f"__{name}_end_{h}").over(before), F.lit(0)))
-    kept = ["value", *_RANGE, "__at", "__after", "__last"]
-    return rows.select(*kept, *[f"{c}_{h}" for c in ("depth", "least", "least_rest", "ends", "rest", "__ends_end", "__rest_end") for h in (0, 1)])
+            rows = rows.withColumn(f"total_{name}_{h}", F.sum(f"__{name}_end_{h}").over(whole))
+    kept = [*_RANGE, "__at", "__after", "__last"]
+    return rows.select(*kept, *[f"{c}_{h}" for c in ("depth", "least", "least_rest", "total_ends", "total_rest") for h in (0, 1)])
 
 
 def composed(pieces: DataFrame) -> DataFrame:
-    """How each range begins: one row for each, from a running sum over the ranges of its file.
+    """How each block begins: one row for each, from a running sum over the blocks of its file.
 
-    ``way`` is 0 or 1, as outside or inside quotes; ``count`` says which of the piece's counts hold:
-    ``ends``, ``rest``, or none, where no record ends in the range. ``open_range`` and ``open_number`` name
-    the record that is open when the range begins.
+    ``way`` is 0 or 1, as outside or inside quotes; a record ends outside quotes at depth ``least``, null
+    where none ends in the block, and ``total`` records do. ``open_range`` and ``open_number`` name the
+    record that is open when the block begins.
     """
-    last = pieces.where("__last").select(
-        *_RANGE,
-        "__after",
-        *[f"{c}_{h}" for c in ("depth", "least", "least_rest") for h in (0, 1)],
-        *[(F.col(f"{c}_{h}") + F.col(f"__{c}_end_{h}")).alias(f"total_{c}_{h}") for c in ("ends", "rest") for h in (0, 1)],
-    )
+    last = pieces.where("__last")
     along = Window.partitionBy("__file").orderBy("__range")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -122,44 +144,73 @@ def composed(pieces: DataFrame) -> DataFrame:
     ranges = ranges.withColumn("__depth", chosen("depth")).withColumn("depth", F.coalesce(F.sum("__depth").over(before), F.lit(0)))
     # What follows the last record closes nothing: there the depth seems to fall below 0.
     kind = F.when(F.col("depth") + chosen("least") == 0, "ends").when(F.col("depth") + chosen("least_rest") == 0, "rest")
-    ranges = ranges.withColumn("count", kind)
-    total = F.when(F.col("count") == "ends", chosen("total_ends")).when(F.col("count") == "rest", chosen("total_rest")).otherwise(0)
-    ranges = ranges.withColumn("__total", total)
-    closed = F.when(F.col("__total") > 0, F.struct(F.col("__range").alias("r"), F.col("__total").alias("n")))
+    ranges = ranges.withColumn("__count", kind)
+
+    def counted(ends: str, rest: str) -> Column:
+        return F.when(F.col("__count") == "ends", chosen(ends)).when(F.col("__count") == "rest", chosen(rest))
+
+    ranges = ranges.withColumn("least", counted("least", "least_rest"))
+    ranges = ranges.withColumn("total", F.coalesce(counted("total_ends", "total_rest"), F.lit(0)))
+    closed = F.when(F.col("total") > 0, F.struct(F.col("__range").alias("r"), F.col("total").alias("n")))
     ranges = ranges.withColumn("__open", F.last(closed, ignorenulls=True).over(before))
     return ranges.select(
-        *_RANGE, "way", "count", F.coalesce("__open.r", F.lit(-1).cast("long")).alias("open_range"), F.coalesce("__open.n", F.lit(0)).alias("open_number")
+        *_RANGE, "way", "least", "total",
+        F.coalesce("__open.r", F.lit(-1).cast("long")).alias("open_range"), F.coalesce("__open.n", F.lit(0)).alias("open_number"),
+        # Stands for file and range where each fragment carries it.
+        F.monotonically_increasing_id().alias("__block"),
     )
 
 
-def records(spark: SparkSession, path: str | list[str], separator: str, braces: bool, min_tasks: int | None = None) -> DataFrame:
-    """(file, first, text): the records of all files, with whether each is the first of its file."""
-    with _at_least(spark, min_tasks):
-        pieces = materialize(fragments(spark, path, separator, braces), "fragments")
-    # Written, so that Spark knows its size: one row for each range.
-    ranges = materialize(composed(pieces), "ranges")
-    met = pieces.join(ranges, _RANGE)
+def _joined(pieces: DataFrame, order: str, keys: Sequence[str], separator: str) -> DataFrame:
+    """The texts of each key in order, as one."""
+    together = pieces.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, "text"))).alias("__texts"))
+    return together.select(*keys, F.array_join("__texts.text", separator).alias("text"))
 
-    def chosen(name: str) -> Column:
-        return F.when(F.col("way") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
 
-    number = F.when(F.col("count") == "ends", chosen("ends")).when(F.col("count") == "rest", chosen("rest")).otherwise(0)
-    met = met.withColumn("__number", number)
+def _parts(pieces: DataFrame, ranges: DataFrame, separator: str, braces: bool) -> DataFrame:
+    """The part of each record that lies in a block: all of it, where ``__whole``."""
+    along = Window.partitionBy("__block").orderBy("__at")
+    upto, before = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
+    known = ["__block", "way", *(["least"] if braces else [])]
+    carried = ["__at", F.col("value").alias("text"), "__odd", *(["__open_0", "__open_1"] if braces else [])]
+    met = _dealt(pieces.join(ranges.select(*_RANGE, *known), _RANGE).select(*known, *carried), "__block")
+    met = met.withColumn("__inside", (F.sum("__odd").over(upto) + F.col("way")) % 2)
+    ended = F.col("__inside") == 0
+    if braces:
+        opened = F.when((F.col("__inside") + F.col("__odd")) % 2 == 1, F.col("__open_1")).otherwise(F.col("__open_0"))
+        met = met.withColumn("__step", opened - F.when(ended, 1).otherwise(0))
+        met = met.withColumn("__depth", F.sum("__step").over(upto))
+        ended &= F.col("__depth") == F.col("least")
+    met = met.withColumn("__end", F.when(ended, 1).otherwise(0))
+    met = met.withColumn("__number", F.coalesce(F.sum("__end").over(before), F.lit(0)))
+    parts = _joined(met.select("__block", "__number", "__at", "text"), "__at", ["__block", "__number"], separator)
     own = F.col("__number") > 0
-    keyed = met.select(
-        "__file",
+    return parts.join(ranges, "__block").select(
+        *_RANGE,
         F.when(own, F.col("__range")).otherwise(F.col("open_range")).alias("__begin"),
         F.when(own, F.col("__number")).otherwise(F.col("open_number")).alias("__record"),
-        F.struct("__range", "__at", "value").alias("piece"),
-    )
-    together = keyed.groupBy("__file", "__begin", "__record").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
-    return together.select(
-        F.col("__file").alias("file"),
-        ((F.col("__begin") == -1) & (F.col("__record") == 0)).alias("first"),
-        F.array_join(F.col("pieces.value"), separator).alias("text"),
+        (own & (F.col("__number") < F.col("total"))).alias("__whole"),
+        "text",
     )
 
 
+def records(spark: SparkSession, path: str | list[str], separator: str, braces: bool, min_tasks: int | None = None) -> DataFrame:
+    """(file, first, text): the records of all files, with whether each is the first of its file.
+
+    They are written once, so that all that reads them costs one more read of what was written.
+    """
+    with _at_least(spark, min_tasks):
+        # One listing of the files, so that both reads cut them alike.
+        pieces = _pieces(spark, path, separator, braces)
+        # Written, so that Spark knows its size: one row for each block.
+        ranges = materialize(composed(_marked(pieces, braces)), "ranges")
+        parts = materialize(_parts(pieces, ranges, separator, braces), "records")
+    edges = _joined(parts.where(~F.col("__whole")), "__range", ["__file", "__begin", "__record"], separator)
+    found = parts.where("__whole").select(*edges.columns).unionByName(edges)
+    first = (F.col("__begin") == -1) & (F.col("__record") == 0)
+    return found.select(F.col("__file").alias("file"), first.alias("first"), "text")
+
+
 def _with_corrupt(schema: T.StructType, corrupt: str) -> T.StructType:
     return schema if corrupt in schema.names else T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
 
@@ -225,7 +276,7 @@ def read_csv_by_name(
     Every file's first record names its columns; names are compared without case, and a column that a
     file lacks is null. The headers, one row for each file, come out of the same read as the records.
     """
-    found = materialize(records(spark, path, "\n", False, min_tasks), "csv-records")
+    found = records(spark, path, "\n", False, min_tasks)
     text = F.regexp_replace(F.regexp_replace("text", "\\r$", ""), "^\\uFEFF", "")
     lines = found.select("file", "first", text.alias("text")).where("trim(text) <> ''")
     how = {"escape": "\\", **(options or {})}

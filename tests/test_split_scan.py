@@ -59,6 +59,29 @@ def test_one_long_object_spans_ranges(spark, tmp_path):
     assert got[1]["more"] == rows[1]["more"]
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_blocks_inside_a_range_give_the_same_records(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(split_scan, "_BLOCK_BITS", bits)
+    rows = objects(5, 120)
+    path = written(spark, tmp_path, json.dumps(rows, indent=1), json.dumps([]))
+    sizes = split_scan.fragments(spark, path, "}", True).groupBy("__file", "__range").count()
+    assert max(r["count"] for r in sizes.collect()) <= 2**bits
+    assert as_dicts(split_scan.read_json_array(spark, path, SCHEMA)) == rows
+    lines = written(spark, tmp_path / "in", 'a,b\n1,"x\n\n,""y"\n2,\n\n3,"\n"\n', "a,b\r\n4,z")
+    df = split_scan.read_csv_by_name(spark, lines, ["A", "b"], "file", options={"escape": '"'})
+    assert sorted((r["A"], r["b"] or "") for r in df.collect()) == [("1", 'x\n\n,"y'), ("2", ""), ("3", "\n"), ("4", "z")]
+
+
+@pytest.mark.parametrize("braces", [False, True])
+def test_text_is_dealt_once_and_without_its_file(spark, tmp_path, braces):
+    path = written(spark, tmp_path, json.dumps(objects(6, 50)))
+    pieces = split_scan._pieces(spark, path, "}", braces)
+    ranges = split_scan.composed(split_scan.fragments(spark, path, "}", braces)).localCheckpoint()
+    plan = split_scan._parts(pieces, ranges, "}", braces)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "RepartitionByExpression" in line]
+    assert len(dealt) == 1 and "__block" in dealt[0]
+
+
 def test_what_is_no_object_is_reported(spark, tmp_path):
     path = written(spark, tmp_path, '[{"id": 1}, 5, {"id": 2}, {"id": "x"}]')
     rows = split_scan.read_json_array(spark, path, T.StructType([ID])).collect()
