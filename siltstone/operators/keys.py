@@ -18,6 +18,8 @@ _RANK = "__rank"
 
 # Rows that one task numbers in surrogate_id, about.
 ROWS_PER_BUCKET = 1_000_000
+# Beyond so many ranges they grow instead: the driver gets a sample, a border and a result for each one.
+MAX_BUCKETS = 1_000
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -110,10 +112,11 @@ def surrogate_id(
 ) -> DataFrame:
     """Dense 1..n ids in key order, nulls last; ``keys`` must identify a row.
 
-    The rows are dealt by key ranges of about ``rows_per_bucket``, sorted and written, and shifted by the
-    sizes of the ranges ahead of them: see :func:`siltstone.operators.numbering.numbered`.
+    The rows are dealt by key ranges of about ``rows_per_bucket``, or ``MAX_BUCKETS`` larger ones, sorted
+    and written, and shifted by the sizes of the ranges ahead of them: see
+    :func:`siltstone.operators.numbering.numbered`. What the driver gets does not grow with the table.
     """
-    ranges = max(1, -(-df.count() // rows_per_bucket))
+    ranges = min(MAX_BUCKETS, max(1, -(-df.count() // rows_per_bucket)))
     place = f"__{name}"
     rows = numbered(df, [F.col(f"`{k}`").asc_nulls_last() for k in keys], place, ranges)
     return rows.withColumn(name, F.col(place) + 1).drop(place)

@@ -129,6 +129,14 @@ def test_surrogate_ids_of_other_types(spark, kind):
     assert all(r["n"] == r["id"] + 1 for r in got.collect())
 
 
+def test_surrogate_ids_deal_a_bounded_number_of_ranges(spark, monkeypatch):
+    monkeypatch.setattr(keys, "MAX_BUCKETS", 5, raising=False)
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("k")).repartition(4)
+    got = keys.surrogate_id(df, ["k"], rows_per_bucket=10)
+    assert len(got.inputFiles()) <= 5
+    assert all(r["id"] == r["k"] + 1 for r in got.collect())
+
+
 def test_surrogate_ids_of_an_empty_table(spark):
     assert keys.surrogate_id(spark.createDataFrame([], "k int"), ["k"]).count() == 0
 
