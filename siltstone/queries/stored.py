@@ -14,16 +14,24 @@ from siltstone.sources import compaction, evolution, readers, snapshots, split_s
 from siltstone.streaming import arrivals, dead_letters
 
 
+# A delivered file holds about so many records: more than a task's range, and never a whole large table.
+_FILE_ROWS = 2_000_000
+
+
 @query("select o_orderkey, o_orderstatus, o_totalprice, '{\"' || o_orderpriority || '\"},\n[' as note from orders")
 def q_json_array_ranges(t):
-    """All orders in one JSON array file, read by sixteen tasks; quotes, braces and line breaks stand in its texts."""
+    """All orders in large JSON array files, read by sixteen tasks or more; quotes, braces and line breaks stand in their texts."""
     path = work_path(t.spark, "orders-array")
     note = F.concat(F.lit('{"'), "o_orderpriority", F.lit('"},\n['))
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", note.alias("note"))
-    # A delivery is one file; its lines are streamed by one task: the bracket, the objects, the end.
-    lines = rows.select(F.lit(1).alias("part"), F.concat(F.to_json(F.struct(*rows.columns)), F.lit(",")).alias("value"))
-    ends = t.spark.createDataFrame([(0, "["), (2, '{"o_orderkey": null, "note": "end"}]')], "part int, value string")
-    lines.unionByName(ends).repartition(1).sortWithinPartitions("part").select("value").write.text(path)
+    files = max(1, -(-rows.count() // _FILE_ROWS))
+    # A file's lines are streamed by one task: the bracket, the objects, the end.
+    number = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).alias("file")
+    lines = rows.select(number, F.lit(1).alias("part"), F.concat(F.to_json(F.struct(*rows.columns)), F.lit(",")).alias("value"))
+    border = [F.struct(F.lit(at).alias("part"), F.lit(v).alias("value")) for at, v in ((0, "["), (2, '{"o_orderkey": null, "note": "end"}]'))]
+    ends = t.spark.range(files).select(F.col("id").alias("file"), F.inline(F.array(*border)))
+    dealt = lines.unionByName(ends).repartition("file").sortWithinPartitions("file", "part")
+    dealt.select("file", "value").write.partitionBy("file").text(path)
     read = split_scan.read_json_array(t.spark, path, rows.schema, min_tasks=16)
     return read.where("o_orderkey is not null").select(*rows.columns)
 

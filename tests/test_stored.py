@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from siltstone.operators import id_digests, latest_state
 from siltstone.operators.keys import first_per_key, latest_per_key
 from siltstone.operators.numbering import numbered
+from siltstone.queries import QUERIES, stored
 from siltstone.session import work_path
 from siltstone.sources import compaction, snapshots, versions, writers
 
+FOLDER = "/root/testdata/sf0.001"
 LOG = "key long, at long, value string, note string"
 
 
@@ -154,3 +156,18 @@ def test_units_are_replaced_inside_a_bounded_number_of_folders(spark):
     assert spark.read.parquet(path).count() == len(want)
     with pytest.raises(ValueError, match="partition"):
         writers.replace_units(spark.createDataFrame([], kind), path, ["unit"])
+
+
+@pytest.mark.parametrize("name, table, size", [("q_json_array_ranges", "orders", 100)])
+def test_deliveries_are_dealt_over_files_of_bounded_size(spark, tmp_path, monkeypatch, name, table, size):
+    monkeypatch.setattr(stored, "work_path", lambda _, folder: str(tmp_path / folder))
+    for limit in ("_FILE_ROWS", "_FILE_BYTES"):
+        monkeypatch.setattr(stored, limit, size, raising=False)
+    got = QUERIES[name](spark, FOLDER)
+    source = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+    key = got.columns[0]
+    kept = source if table == "orders" else source.where("text is not null and text <> ''")
+    assert sorted(r[0] for r in got.select(key).collect()) == sorted(r[0] for r in kept.select(key).collect())
+    needed = kept.count() / size if table == "orders" else kept.agg(F.sum(F.octet_length("text"))).first()[0] / size
+    assert needed > 2
+    assert len([f for f in tmp_path.rglob("part-*") if f.is_file()]) >= needed
