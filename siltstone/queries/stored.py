@@ -14,8 +14,9 @@ from siltstone.sources import compaction, evolution, readers, snapshots, split_s
 from siltstone.streaming import arrivals, dead_letters
 
 
-# A delivered file holds about so many records: more than a task's range, and never a whole large table.
+# A delivered file holds about so many records, or bytes of text: more than a task's range, and never a whole large table.
 _FILE_ROWS = 2_000_000
+_FILE_BYTES = 256 << 20
 
 
 @query("select o_orderkey, o_orderstatus, o_totalprice, '{\"' || o_orderpriority || '\"},\n[' as note from orders")
@@ -38,10 +39,12 @@ def q_json_array_ranges(t):
 
 @query("select doc_id, text, lang from documents where text is not null and text <> ''")
 def q_csv_ranges(t):
-    """Whole texts in one CSV file, line breaks in quotes, read by sixteen tasks."""
+    """Whole texts in large CSV files, line breaks in quotes, read by sixteen tasks or more."""
     path = work_path(t.spark, "documents-csv")
     rows = t.documents.select("doc_id", "text", "lang").where("text is not null and text <> ''")
-    rows.repartition(1).write.options(header="true", quoteAll="true", escape='"').csv(path)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(1, -(-size // _FILE_BYTES))
+    rows.repartition(files, "doc_id").write.options(header="true", quoteAll="true", escape='"').csv(path)
     read = split_scan.read_csv(t.spark, path, rows.schema, min_tasks=16, options={"escape": '"'})
     return read.select(*rows.columns)
 

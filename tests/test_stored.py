@@ -158,7 +158,7 @@ def test_units_are_replaced_inside_a_bounded_number_of_folders(spark):
         writers.replace_units(spark.createDataFrame([], kind), path, ["unit"])
 
 
-@pytest.mark.parametrize("name, table, size", [("q_json_array_ranges", "orders", 100)])
+@pytest.mark.parametrize("name, table, size", [("q_json_array_ranges", "orders", 100), ("q_csv_ranges", "documents", 20_000)])
 def test_deliveries_are_dealt_over_files_of_bounded_size(spark, tmp_path, monkeypatch, name, table, size):
     monkeypatch.setattr(stored, "work_path", lambda _, folder: str(tmp_path / folder))
     for limit in ("_FILE_ROWS", "_FILE_BYTES"):
